@@ -1,0 +1,24 @@
+"""Heavy keys: the few keys that hold so many rows that one task cannot take them."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+HOT_ROWS = 2_000_000
+MAX_HOT_KEYS = 1_000
+
+
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """The keys with more than `min_rows` rows, at most the `max_keys` heaviest.
+
+    The limit proves the size for a broadcast and loses nothing: a key that does
+    not make the list holds at most 1/`max_keys` of the rows, and callers only
+    decide by this list how a group is split, never whether it is processed.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    ranked = counted.filter(F.col("_n") > min_rows).orderBy(F.desc("_n"), *keys)
+    return ranked.limit(max_keys).select(*keys)
