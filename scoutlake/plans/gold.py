@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from scoutlake.contracts import GOLD
 from scoutlake.functions import (
@@ -41,7 +41,7 @@ def _today(as_of: dt.date | None) -> Column:
 def _gold(df: DataFrame, table: str) -> DataFrame:
     """Contract columns that exist, in contract order and types."""
     known = select_existing(df, GOLD[table].fieldNames())
-    return conform(known, type(GOLD[table])([f for f in GOLD[table] if f.name in known.columns]))
+    return conform(known, T.StructType([f for f in GOLD[table] if f.name in known.columns]))
 
 
 def players_gold(
