@@ -39,7 +39,7 @@ def with_previous(
     time = order_by[0]
     kind = dict(df.dtypes)[time]
     day = F.to_date(time) if kind.startswith("timestamp") else F.col(time)
-    order = [*order_by, value]
+    order = list(dict.fromkeys([*order_by, value]))
 
     hot = heavy_keys(df, [entity], hot_rows).withColumn("_hot", F.lit(True))
     split = df.join(F.broadcast(hot), entity, "left").withColumn(
