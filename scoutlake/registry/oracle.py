@@ -1,7 +1,7 @@
 """Oracle texts: common table expressions for the shapes and the gold tables, in DuckDB's SQL.
 
-Numbers are rounded through a decimal, because Spark rounds the printed value
-half up and DuckDB the binary one.
+Numbers are rounded through their printed form, because Spark rounds that half
+up and DuckDB the binary value.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ AS_OF = "DATE '2025-06-01'"
 
 
 def rounded(expr: str, digits: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def age(born: str, on: str) -> str:
