@@ -1 +1,141 @@
-QUERIES = {}
+"""Model features, models and predictions."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from scoutlake.ml import match_goals, player_value
+from scoutlake.registry import Query, gold
+from scoutlake.registry.oracle import oracle
+
+# Small boosters: the registered queries show that a model trains and predicts on the whole tables.
+TREES, DEPTH = 5, 3
+
+
+def player_features(spark: SparkSession, sf: str) -> DataFrame:
+    wanted = ("player_id", "position", "age", "height_in_cm", *player_value.FEATURES[6:11], player_value.LEAKING_FEATURE)
+    return player_value.player_features(gold.players(spark, sf), impute_height=True).select(*wanted)
+
+
+def encoded_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordinal of the position in alphabetical order, unknown ones included."""
+    players = gold.players(spark, sf).select("player_id", "position").na.fill("Unknown", ["position"])
+    indexer = StringIndexer(inputCol="position", outputCol="position_enc", stringOrderType="alphabetAsc")
+    return indexer.fit(players).transform(players)
+
+
+def team_strength(spark: SparkSession, sf: str) -> DataFrame:
+    return match_goals.team_strength(gold.games(spark, sf))
+
+
+def game_features(spark: SparkSession, sf: str) -> DataFrame:
+    games = gold.games(spark, sf)
+    return match_goals.game_features(games, match_goals.team_strength(games))
+
+
+def _player_model(spark: SparkSession, sf: str):
+    features = player_value.player_features(gold.players(spark, sf)).cache()
+    return features, *player_value.train_player_value(features, TREES, DEPTH)
+
+
+def player_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    _, trained, train, held_out = _player_model(spark, sf)
+    return trained.metrics(train=train, held_out=held_out)
+
+
+def player_model_importances(spark: SparkSession, sf: str) -> DataFrame:
+    _, trained, _, _ = _player_model(spark, sf)
+    return trained.importances(spark)
+
+
+def value_potential(spark: SparkSession, sf: str) -> DataFrame:
+    features, trained, _, _ = _player_model(spark, sf)
+    return player_value.value_potential(trained, features)
+
+
+def _goals_model(spark: SparkSession, sf: str):
+    games = gold.games(spark, sf).cache()
+    strength = match_goals.team_strength(games)
+    return strength, *match_goals.train_match_goals(match_goals.game_features(games, strength), TREES, DEPTH)
+
+
+def goals_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    _, trained, train, held_out = _goals_model(spark, sf)
+    return trained.metrics(train=train, held_out=held_out)
+
+
+def fixture_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    strength, trained, _, _ = _goals_model(spark, sf)
+    fixtures = [("Team 1 ", "team 2 "), ("TEAM 17", "Team 23 FC"), ("Nowhere", "Team 1 "), ("Team 5 ", "Nowhere")]
+    return match_goals.predict_fixtures(trained, strength, fixtures)
+
+
+def found_clubs(spark: SparkSession, sf: str) -> DataFrame:
+    strength = match_goals.team_strength(gold.games(spark, sf))
+    return match_goals.find_clubs(strength, ["team 1", "TEAM 2[0-9]", "9 FC", "nowhere"]).select(
+        "pattern", "club.club_name", "club.club_id"
+    )
+
+
+def held_out_games(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of the rows that the key hash holds out."""
+    games = gold.games(spark, sf)
+    train, held_out = match_goals.split_by_key(games, "game_id")
+    again = match_goals.split_by_key(games.repartition(5), "game_id")[1].select(F.col("game_id").alias("again"))
+    counted = held_out.join(again, F.col("game_id") == F.col("again"), "full").agg(
+        F.count("game_id").alias("held_out"), F.count_if(F.col("game_id") == F.col("again")).alias("stable")
+    )
+    share = F.col("held_out") / (F.col("held_out") + train.agg(F.count("*")).scalar())
+    return counted.select(share.between(0.15, 0.25).alias("a_fifth"), (F.col("stable") == F.col("held_out")).alias("same"))
+
+
+QUERIES = {
+    "player_features": Query(
+        player_features,
+        oracle("""SELECT player_id, coalesce(position, 'Unknown') AS position, age,
+                    coalesce(height_in_cm, median(height_in_cm) OVER ()) AS height_in_cm,
+                    CAST(total_goals AS DOUBLE) / total_minutes * 90 AS goals_per_90,
+                    CAST(total_assists AS DOUBLE) / total_minutes * 90 AS assists_per_90,
+                    CAST(total_goals AS DOUBLE) / total_minutes * 90
+                      + CAST(total_assists AS DOUBLE) / total_minutes * 90 AS ga_per_90,
+                    CAST(total_minutes AS DOUBLE)
+                      / CASE WHEN total_appearances = 0 THEN 1 ELSE total_appearances END AS minutes_per_appearance,
+                    CAST(total_yellow + total_red AS DOUBLE) / total_minutes * 90 AS cards_per_90,
+                    market_value_in_eur / CASE WHEN highest_market_value_in_eur = 0 THEN 1
+                                               ELSE highest_market_value_in_eur END AS value_ratio
+                  FROM g_players WHERE market_value_in_eur > 0 AND age IS NOT NULL AND total_minutes > 0"""),
+    ),
+    "encoded_positions": Query(
+        encoded_positions,
+        oracle("""SELECT player_id, coalesce(position, 'Unknown') AS position,
+                    CAST(dense_rank() OVER (ORDER BY coalesce(position, 'Unknown')) - 1 AS DOUBLE) AS position_enc
+                  FROM g_players"""),
+    ),
+    "team_strength": Query(team_strength, oracle("SELECT * FROM strength")),
+    "game_features": Query(
+        game_features,
+        oracle("""SELECT g.game_id, g.home_club_id, g.away_club_id, g.total_goals, g.attendance,
+                    h.avg_goals_scored_home AS home_attack, h.avg_goals_conceded_home AS home_defense,
+                    h.overall_attack AS home_overall_attack, h.overall_defense AS home_overall_defense,
+                    a.avg_goals_scored_away AS away_attack, a.avg_goals_conceded_away AS away_defense,
+                    a.overall_attack AS away_overall_attack, a.overall_defense AS away_overall_defense
+                  FROM g_games g JOIN strength h ON h.club_id = g.home_club_id
+                  JOIN strength a ON a.club_id = g.away_club_id
+                  WHERE g.competition_type = 'domestic_league'"""),
+    ),
+    "found_clubs": Query(
+        found_clubs,
+        oracle(" UNION ALL ".join(
+            f"""SELECT * FROM (SELECT '{p}' AS pattern, club_name, club_id FROM strength
+                WHERE regexp_matches(club_name, '{p}', 'i') ORDER BY club_name, club_id LIMIT 1)"""
+            for p in ("team 1", "TEAM 2[0-9]", "9 FC", "nowhere")
+        )),
+    ),
+    "held_out_games": Query(held_out_games, "SELECT true AS a_fifth, true AS same"),
+    "player_model_metrics": Query(player_model_metrics),
+    "player_model_importances": Query(player_model_importances),
+    "value_potential": Query(value_potential),
+    "goals_model_metrics": Query(goals_model_metrics),
+    "fixture_predictions": Query(fixture_predictions),
+}

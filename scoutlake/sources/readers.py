@@ -52,17 +52,20 @@ def read_wrapped_json(
     return rows.select(F.explode(items).alias("item"))
 
 
-def read_payloads(spark: SparkSession, path: str | list[str], array_field: str | None) -> DataFrame:
+def read_payloads(
+    spark: SparkSession, path: str | list[str], array_field: str | None, json_lines: bool = False
+) -> DataFrame:
     """Raw JSON text of every payload item (`payload`) with the file it came from (`source_file`).
 
-    A directory of per-league files is one scan, which is the union of their arrays.
+    A directory of per-league files is one scan, which is the union of their arrays. A file
+    is one document, or one document per line with `json_lines`, which can be split.
     """
     source = F.col("_metadata.file_path").alias("source_file")
     if array_field is None:
-        whole = spark.read.option("wholetext", True).text(path)
+        whole = spark.read.option("wholetext", not json_lines).text(path)
         return whole.select(F.col("value").alias("payload"), source)
     texts = T.StructType([T.StructField(array_field, T.ArrayType(T.StringType()))])
-    rows = spark.read.schema(texts).option("multiLine", True).json(path)
+    rows = spark.read.schema(texts).option("multiLine", not json_lines).json(path)
     return rows.select(F.explode(array_field).alias("payload"), source)
 
 
@@ -80,7 +83,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...]) -> DataFrame:
     """`file_path` and `file_bytes` below `root`: file-system metadata, zero-byte files included."""
     schema = "file_path string, file_bytes long"
     if not path_exists(spark, root):
@@ -91,6 +94,6 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
         status = listing.next()
         path = status.getPath()
         name = path.getName()
-        if name.endswith(suffix) and not name.startswith(("_", ".")):
+        if name.endswith(suffixes) and not name.startswith(("_", ".")):
             found.append((path.toUri().getPath(), status.getLen()))
     return spark.createDataFrame(found, schema)
