@@ -16,8 +16,8 @@ def _column(value: Column | str | dt.date) -> Column:
 
 
 def parse_date(value: Column | str) -> Column:
-    """The leading ISO date of a text or timestamp; null, not an error, when malformed."""
-    return F.try_to_date(F.substring(_column(value).cast("string"), 1, 10), "yyyy-MM-dd")
+    """The ISO date a text or timestamp starts with; null, not an error, when malformed."""
+    return _column(value).try_cast("date")
 
 
 def age_fraction(born: Column | str, on: Column | str | dt.date) -> Column:

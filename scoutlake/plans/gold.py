@@ -209,10 +209,10 @@ def matches_gold(items: DataFrame, games: DataFrame, cutoff: float = CUTOFF) ->
         "home_formation": "home_club_formation",
         "away_formation": "away_club_formation",
     }
-    matches = match_rows(items)
+    rows = match_rows(items)
     days = {c: parse_date(c) for c in ("utc_date", "season_start", "season_end")}
-    rest = [F.col(c) for c in matches.columns if c != "match_id"]
-    matches = dedup_by_key(matches, ["match_id"], rest).withColumns(days)
+    rest = [F.col(c) for c in rows.columns if c != "match_id"]
+    matches = dedup_by_key(rows, ["match_id"], rest).withColumns(days)
 
     side = games.select(
         parse_date("date").alias("_day"), F.col("home_club_name").alias("_team"),
@@ -220,7 +220,7 @@ def matches_gold(items: DataFrame, games: DataFrame, cutoff: float = CUTOFF) ->
     ).filter(F.col("_day").isNotNull() & F.col("_team").isNotNull())
     side = dedup_by_key(side, ["_day", "_team"], [F.col("tm_game_id")])
 
-    mapping = fuzzy_map(matches, games, "home_team", "home_club_name", cutoff)
+    mapping = fuzzy_map(rows, games, "home_team", "home_club_name", cutoff)
     named = apply_mapping(matches, "home_team", mapping, "_mapped")
     on = (F.col("utc_date") == F.col("_day")) & (F.col("_mapped") == F.col("_team"))
     return _gold(named.join(side, on, "left").drop("_day", "_team", "_mapped"), "matches")

@@ -15,6 +15,8 @@ SETTINGS = {
     # Split a skewed join side even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of single Column calls cost more driver time than wide plans take to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
