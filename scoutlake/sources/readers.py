@@ -62,7 +62,7 @@ def read_payloads(
     """
     source = F.col("_metadata.file_path").alias("source_file")
     if array_field is None:
-        whole = spark.read.option("wholetext", not json_lines).text(path)
+        whole = spark.read.text(path, wholetext=not json_lines)
         return whole.select(F.col("value").alias("payload"), source)
     texts = T.StructType([T.StructField(array_field, T.ArrayType(T.StringType()))])
     rows = spark.read.schema(texts).option("multiLine", not json_lines).json(path)
