@@ -18,7 +18,7 @@ def players(spark):
         row = dict(
             player_id=str(i), name=f"P{i}", age=rng.randint(17, 34), position=rng.choice(["Attack", "Defender", None]),
             height_in_cm=None if i % 9 == 0 else 180.0 + rng.randint(0, 20), market_value_in_eur=value,
-            highest_market_value_in_eur=value * (3 if i % 2 else 1), total_goals=goals, total_assists=2, total_yellow=1,
+            highest_market_value_in_eur=value * 2, total_goals=goals, total_assists=2, total_yellow=1,
             total_red=0, total_minutes=minutes, total_appearances=minutes // 80,
         )
         data.append(tuple(row.get(c) for c in GOLD["players"].fieldNames()))
