@@ -20,6 +20,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     return df.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def _slot(df: DataFrame, time: str) -> tuple[Column, Column]:
+    """(slot of the time column, slot of a null): days of a date, hours of a timestamp, else the values.
+
+    Slots follow the order of the column, so an entity's history can be cut between them.
+    """
+    kind = dict(df.dtypes)[time]
+    if kind == "date":
+        return F.unix_date(time), F.lit(-(2**31))
+    if kind.startswith("timestamp"):
+        return F.unix_date(F.to_date(time)) * 24 + F.hour(time), F.lit(-(2**31))
+    return F.col(time).cast("string"), F.lit("")
+
+
 def with_previous(
     df: DataFrame,
     entity: str,
@@ -32,18 +45,17 @@ def with_previous(
 
     `order_by` starts with the time column and goes on with tie-breakers; the
     value itself breaks what is left, so the result is reproducible. An entity
-    with more than `hot_rows` rows is windowed day by day; the first row of a day
-    then gets the last value of the entity's day before, taken from a table
-    with one row per (hot entity, day) that is aggregated map-side.
+    with more than `hot_rows` rows is windowed slot by slot (days or hours); the
+    first row of a slot then gets the last value of the slot before, taken from a
+    table with one row per (hot entity, slot) that is aggregated map-side.
     """
     time = order_by[0]
-    kind = dict(df.dtypes)[time]
-    day = F.to_date(time) if kind.startswith("timestamp") else F.col(time)
+    slot, whole = _slot(df, time)
     order = list(dict.fromkeys([*order_by, value]))
 
     hot = heavy_keys(df, [entity], hot_rows).withColumn("_hot", F.lit(True))
     split = df.join(F.broadcast(hot), entity, "left").withColumn(
-        "_part", F.when(F.col("_hot"), F.coalesce(day.cast("string"), F.lit(""))).otherwise(F.lit(""))
+        "_part", F.when(F.col("_hot"), F.coalesce(slot, whole)).otherwise(whole)
     )
     within = Window.partitionBy(entity, "_part").orderBy(*order)
     rows = split.select(
@@ -55,15 +67,15 @@ def with_previous(
     ends = (
         split.filter(F.col("_hot"))
         .groupBy(entity, "_part")
-        .agg(F.min(day).alias("_day"), F.max(F.struct(*order)).alias("_end"))
+        .agg(F.min(time).alias("_start"), F.max(F.struct(*order)).alias("_end"))
     )
-    across = Window.partitionBy(entity).orderBy("_day")
+    across = Window.partitionBy(entity).orderBy("_start")
     carried = ends.select(entity, "_part", F.lag(F.col("_end")[value]).over(across).alias("_carried"))
 
-    opens_day = F.col("_hot") & (F.col("_rn") == 1)
+    opens_slot = F.col("_hot") & (F.col("_rn") == 1)
     return (
         rows.join(carried, [entity, "_part"], "left")
-        .withColumn(alias, F.when(opens_day, F.col("_carried")).otherwise(F.col("_prev")))
+        .withColumn(alias, F.when(opens_slot, F.col("_carried")).otherwise(F.col("_prev")))
         .select(*df.columns, alias)
     )
 
