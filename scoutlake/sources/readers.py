@@ -15,7 +15,8 @@ def read_csv(
     Text that does not fit its type becomes null. A gzipped file is one task, so
     `min_partitions` spreads the rows right after the scan.
     """
-    reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+    # Every file's header is checked against the first one's, so columns cannot be mixed up silently.
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
     names = reader.csv(path).columns
     texts = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
     if min_partitions:

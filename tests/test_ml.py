@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from scoutlake.contracts import GOLD
@@ -41,6 +42,10 @@ def test_player_value_model_beats_the_mean(spark, players):
     trained, train, held_out = player_value.train_player_value(features, trees=8, depth=4, step=0.3)
     metrics = {(r.part, r.metric): r.value for r in trained.metrics(train=train, held_out=held_out).collect()}
     assert metrics["held_out", "r2"] > 0.2 and metrics["train", "mae"] > 0
+    scored = trained.model.transform(held_out)
+    for metric in ("mae", "r2"):
+        evaluator = RegressionEvaluator(labelCol=player_value.TARGET, metricName=metric)
+        assert metrics["held_out", metric] == pytest.approx(evaluator.evaluate(scored))
     ranked = trained.importances(spark).collect()
     assert len(ranked) == 5 and ranked[0].importance >= ranked[-1].importance and ranked[0].feature == "total_goals"
     top = player_value.value_potential(trained, features).collect()

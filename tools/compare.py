@@ -1,6 +1,8 @@
 """Runs registered queries and their oracles and reports differences.
 
     python tools/compare.py [sf_dir] [name ...]
+
+SHUFFLE_PARTITIONS sets spark.sql.shuffle.partitions (default 8).
 """
 
 from __future__ import annotations
@@ -67,8 +69,8 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     spark = build_session(
-        "compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
+        "compare", "local[8]", spark__ui__enabled="false",
+        spark__sql__shuffle__partitions=os.environ.get("SHUFFLE_PARTITIONS", "8"), spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
