@@ -47,17 +47,23 @@ def with_previous(
     value itself breaks what is left, so the result is reproducible. An entity
     with more than `hot_rows` rows is windowed slot by slot (days or hours); the
     first row of a slot then gets the last value of the slot before, taken from a
-    table with one row per (hot entity, slot) that is aggregated map-side.
+    table with one row per (hot entity, slot) that is aggregated map-side. Rows
+    without an entity form one history like any other.
     """
     time = order_by[0]
     slot, whole = _slot(df, time)
     order = list(dict.fromkeys([*order_by, value]))
+    # A key without nulls, so that plain equi-joins find the history of the missing entity too.
+    key = ["_null", "_key"]
+    keyed = df.withColumns(
+        {"_null": F.col(entity).isNull(), "_key": F.coalesce(entity, F.lit("0").try_cast(df.schema[entity].dataType))}
+    )
 
-    hot = heavy_keys(df, [entity], hot_rows).withColumn("_hot", F.lit(True))
-    split = df.join(F.broadcast(hot), entity, "left").withColumn(
+    hot = heavy_keys(keyed, key, hot_rows).withColumn("_hot", F.lit(True))
+    split = keyed.join(F.broadcast(hot), key, "left").withColumn(
         "_part", F.when(F.col("_hot"), F.coalesce(slot, whole)).otherwise(whole)
     )
-    within = Window.partitionBy(entity, "_part").orderBy(*order)
+    within = Window.partitionBy(*key, "_part").orderBy(*order)
     rows = split.select(
         "*",
         F.lag(value).over(within).alias("_prev"),
@@ -66,15 +72,15 @@ def with_previous(
 
     ends = (
         split.filter(F.col("_hot"))
-        .groupBy(entity, "_part")
+        .groupBy(*key, "_part")
         .agg(F.min(time).alias("_start"), F.max(F.struct(*order)).alias("_end"))
     )
-    across = Window.partitionBy(entity).orderBy("_start")
-    carried = ends.select(entity, "_part", F.lag(F.col("_end")[value]).over(across).alias("_carried"))
+    across = Window.partitionBy(*key).orderBy("_start")
+    carried = ends.select(*key, "_part", F.lag(F.col("_end")[value]).over(across).alias("_carried"))
 
     opens_slot = F.col("_hot") & (F.col("_rn") == 1)
     return (
-        rows.join(carried, [entity, "_part"], "left")
+        rows.join(carried, [*key, "_part"], "left")
         .withColumn(alias, F.when(opens_slot, F.col("_carried")).otherwise(F.col("_prev")))
         .select(*df.columns, alias)
     )

@@ -20,7 +20,7 @@ def history(spark, seed=7, n=400):
     data = []
     for i in range(n):
         # Entity "hot" holds a third of the rows.
-        entity = "hot" if rng.random() < 0.34 else f"p{rng.randint(0, 40)}"
+        entity = "hot" if rng.random() < 0.34 else rng.choice([None, "0", *(f"p{k}" for k in range(40))])
         day = None if rng.random() < 0.03 else base + dt.timedelta(days=rng.randint(0, 12))
         value = None if rng.random() < 0.1 else float(rng.randint(0, 50))
         data.append((entity, day, i, value))
