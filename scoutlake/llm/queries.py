@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import byte_bpe
+from scoutlake.llm import byte_bpe, path_dedup
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return path_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+
+
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -27,6 +31,7 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
