@@ -14,8 +14,10 @@
    member: as many pairs as members, whatever the size of a group. Confirmed
    links are merged. A node that is one component by then is done, as further
    links cannot change it. In the others every pair across components is held
-   against the estimate and confirmed. So no pair of a node that matters is left
-   out, and a group of thousands of copies costs no quadratic work.
+   against the estimate and against an exact bound: hashes that no other open set
+   has cannot be in an intersection, so edited copies whose edits are their own
+   fall out before any pairing. What is left is confirmed. No pair of a node that
+   can matter is left out, and thousands of copies cost no quadratic work.
 5. Links are confirmed on the full sets: exact intersection of all hashes.
 
 Nulls and texts without words have an empty set and link with nothing. Rows that
@@ -125,13 +127,12 @@ def tree_nodes(classes: DataFrame, trees: int, depth: int, leaf: int) -> DataFra
     return final
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text: str) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets."""
+def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text: str) -> DataFrame:
+    """(id, hashes): the whole shingle sets of the documents in `ids`, stored."""
     bounded_batches(docs.sparkSession)
-    needed = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
 
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
             for part, texts in text_slices(batch):
@@ -140,8 +141,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col
                     [part.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"]
                 )
 
-    sets = rows.join(needed, "id", "left_semi").mapInArrow(full_sets, "id long, hashes array<long>")
-    sets = stored(sets, "sets")
+    wanted = rows.join(ids.distinct(), "id", "left_semi")
+    return stored(wanted.mapInArrow(sets_of, "id long, hashes array<long>"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union of the full sets."""
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
@@ -149,6 +154,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col
     return both.filter(100 * common >= percent * (F.size("left") + F.size("right") - common)).select("a", "b")
 
 
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(id, shared): how many hashes of a set occur in any other set; no intersection can be larger."""
+    rows = sets.select("id", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
+    single = rows.groupBy("hash").agg(F.count("*").alias("sets"), F.min("id").alias("id")).filter("sets = 1")
+    alone = single.groupBy("id").agg(F.count("*").alias("alone"))
+    sizes = sets.select("id", F.size("hashes").alias("n"))
+    return sizes.join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def links_between(
     docs: DataFrame,
     classes: DataFrame,
@@ -175,24 +189,38 @@ def links_between(
         "a", F.col("id").alias("b"), F.col("n").alias("n1"), F.col("tokens").alias("tokens1")
     )
     stars = spokes.dropDuplicates(["a", "b"]).join(side, "a").filter(close("1", "2")).select("a", "b")
-    linked = stored(confirmed(stored(stars, "stars"), docs, size, percent, id_col, text), "linked")
+    stars = stored(stars, "stars")
+    ends = stars.select(F.col("a").alias("id")).unionAll(stars.select(F.col("b").alias("id")))
+    linked = stored(confirmed(stars, full_sets(docs, ends, size, id_col, text), percent), "linked")
 
     # What is still apart within a node: all outside the node's largest component, against all others.
     roots = components(linked).select(F.col("node").alias("id"), "root")
     placed = nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    apart = placed.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    placed = stored(placed.join(apart.select("node"), "node"), "apart")
+    placed = stored(_apart(placed), "apart")
+    sets = full_sets(docs, placed.select("id"), size, id_col, text)
+    # A set with too many hashes of its own links with nothing.
+    shared = placed.join(shared_counts(sets), "id").filter(100 * F.col("shared") >= percent * F.col("n"))
+    placed = stored(_apart(shared), "open")
     weights = placed.groupBy("node", "root").agg(F.count("*").alias("size"))
     core = weights.groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("core"))
+    carried = ("id", "n", "tokens", "root", "shared")
     others = placed.join(core, "node").filter("root <> core").select(
-        "node", "core", *(F.col(c).alias(f"{c}1") for c in ("id", "n", "tokens", "root"))
+        "node", "core", *(F.col(c).alias(f"{c}1") for c in carried)
     )
-    everyone = placed.select("node", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "tokens", "root")))
+    everyone = placed.select("node", *(F.col(c).alias(f"{c}2") for c in carried))
     # A pair of two outsiders meets twice; the smaller id keeps it.
     once = (F.col("root2") == F.col("core")) | (F.col("id1") < F.col("id2"))
-    met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & close("1", "2"))
+    most = F.least("shared1", "shared2")
+    may = 100 * most >= percent * (F.col("n1") + F.col("n2") - most)
+    met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & close("1", "2"))
     rest = met.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
-    return linked.unionAll(confirmed(stored(rest, "rest"), docs, size, percent, id_col, text))
+    return linked.unionAll(confirmed(stored(rest, "rest"), sets, percent))
+
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """The members of nodes that hold more than one component."""
+    apart = placed.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return placed.join(apart.select("node"), "node", "left_semi")
 
 
 def near_duplicates(

@@ -6,17 +6,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import byte_bpe, path_dedup
+from scoutlake.llm import byte_bpe, fingerprints, mixing, path_dedup, quality_net, toxic_crf
+from scoutlake.llm.common import id_fold, stored
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = quality_net.score_documents(docs, quality_net.fit(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", (id_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return path_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxic_crf.fit(docs, table(spark, sf, "labels"))
+    scored = toxic_crf.score_documents(docs, model)
+    return scored.select("doc_id", (id_fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "spans")
+
+
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    sized = stored(docs, "sized")
+    mixed = mixing.take_words(sized, mixing.source_targets(sized), mixing.SEED, "doc_id", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -30,8 +51,18 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf, "documents"))
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op8_mixing": op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_fingerprints": op10_fingerprints,
+}
+ORACLES = {
+    "op8_mixing": mixing.ORACLE,
 }
-ORACLES: dict[str, str] = {}
