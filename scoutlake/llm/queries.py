@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import byte_bpe, fingerprints, mixing, path_dedup, quality_net, toxic_crf
+from scoutlake.llm import byte_bpe, fingerprints, grid_join, mixing, path_dedup, quality_net, toxic_crf
 from scoutlake.llm.common import id_fold, stored
 
 
@@ -31,6 +31,10 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", (id_fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "spans")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return grid_join.near_vectors(table(spark, sf, "embeddings"))
+
+
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
     sized = stored(docs, "sized")
@@ -59,6 +63,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_mixing": op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_fingerprints": op10_fingerprints,
