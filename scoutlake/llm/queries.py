@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import byte_bpe, fingerprints, grid_join, mixing, path_dedup, quality_net, toxic_crf
+from scoutlake.llm import byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, toxic_crf
 from scoutlake.llm.common import id_fold, stored
 
 
@@ -24,6 +24,10 @@ def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return path_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
 
 
+def op5_licences(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan(table(spark, sf, "documents")).drop("matches")
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = toxic_crf.fit(docs, table(spark, sf, "labels"))
@@ -62,6 +66,7 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op5_licences": op5_licences,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_mixing": op8_mixing,
