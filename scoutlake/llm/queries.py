@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, toxic_crf
+from scoutlake.llm import attention_lm, byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, toxic_crf
 from scoutlake.llm.common import id_fold, stored
 
 
@@ -20,6 +20,11 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", (id_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op2_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return attention_lm.score_documents(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return path_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
 
@@ -65,6 +70,7 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_lm_scores": op2_lm_scores,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op5_licences": op5_licences,
     "op6_toxicity": op6_toxicity,
