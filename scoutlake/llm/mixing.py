@@ -102,8 +102,10 @@ def repeated(mixed: DataFrame, columns: Sequence[str], text: str = "text") -> Da
     part = F.when((F.col("extra") > 0) & (F.col("extra") < F.col("size")), F.array(F.col("extra")))
     none = F.array().cast("array<bigint>")
     rows = mixed.withColumn("_words", F.explode(F.concat(F.coalesce(whole, none), F.coalesce(part, none))))
-    pattern = F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*){"), F.col("_words").cast("string"), F.lit("}"))
-    cut = F.when(F.col("_words").isNull(), F.col(text)).otherwise(F.regexp_substr(F.col(text), pattern))
+    # Every match is a word with the white space in front of it, so a part keeps the text's spacing.
+    words = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    part = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
+    cut = F.when(F.col("_words").isNull(), F.col(text)).otherwise(part)
     return rows.withColumn(text, cut).select(*columns)
 
 

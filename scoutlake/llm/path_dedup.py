@@ -14,10 +14,11 @@
    member: as many pairs as members, whatever the size of a group. Confirmed
    links are merged. A node that is one component by then is done, as further
    links cannot change it. In the others every pair across components is held
-   against the estimate and against an exact bound: hashes that no other open set
-   has cannot be in an intersection, so edited copies whose edits are their own
-   fall out before any pairing. What is left is confirmed. No pair of a node that
-   can matter is left out, and thousands of copies cost no quadratic work.
+   against the estimate. In nodes that stayed large an exact bound comes first:
+   hashes that no other set of a large node has cannot be in an intersection, so
+   edited copies whose edits are their own fall out before any pairing. What is
+   left is confirmed. No pair of a node that can matter is left out, and thousands
+   of copies cost no quadratic work.
 5. Links are confirmed on the full sets: exact intersection of all hashes.
 
 Nulls and texts without words have an empty set and link with nothing. Rows that
@@ -98,7 +99,7 @@ def sketches(docs: DataFrame, size: int, id_col: str, text: str, trees: int, dep
 
 
 def tree_nodes(classes: DataFrame, trees: int, depth: int, leaf: int) -> DataFrame:
-    """(node, id) of the final nodes of all trees with at least two members.
+    """(node, id, large) of the final nodes of all trees with at least two members.
 
     Tree t starts with its own token; each further branching takes a token that
     the path chooses among those not yet on it. Tokens are looked up only for
@@ -112,7 +113,7 @@ def tree_nodes(classes: DataFrame, trees: int, depth: int, leaf: int) -> DataFra
         sizes = members.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
         sized = members.join(sizes, "path")
         done = sized if level == depth else sized.filter(F.col("size") <= leaf)
-        done = done.select(F.col("path").alias("node"), "id")
+        done = done.select(F.col("path").alias("node"), "id", (F.col("size") > leaf).alias("large"))
         final = done if final is None else final.unionAll(done)
         if level < depth:
             large = stored(sized.filter(F.col("size") > leaf), "branches").join(classes.select("id", "tokens"), "id")
@@ -197,10 +198,12 @@ def links_between(
     roots = components(linked).select(F.col("node").alias("id"), "root")
     placed = nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = stored(_apart(placed), "apart")
-    sets = full_sets(docs, placed.select("id"), size, id_col, text)
-    # A set with too many hashes of its own links with nothing.
-    shared = placed.join(shared_counts(sets), "id").filter(100 * F.col("shared") >= percent * F.col("n"))
-    placed = stored(_apart(shared), "open")
+    # In a large node, a set with too many hashes of its own links with nothing and needs no partner.
+    large = placed.filter("large")
+    shared = shared_counts(full_sets(docs, large.select("id"), size, id_col, text))
+    large = _apart(large.join(shared, "id").filter(100 * F.col("shared") >= percent * F.col("n")))
+    small = placed.filter(~F.col("large")).withColumn("shared", F.col("n"))
+    placed = stored(small.unionByName(large), "open")
     weights = placed.groupBy("node", "root").agg(F.count("*").alias("size"))
     core = weights.groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("core"))
     carried = ("id", "n", "tokens", "root", "shared")
@@ -214,7 +217,9 @@ def links_between(
     may = 100 * most >= percent * (F.col("n1") + F.col("n2") - most)
     met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & close("1", "2"))
     rest = met.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
-    return linked.unionAll(confirmed(stored(rest, "rest"), sets, percent))
+    rest = stored(rest, "rest")
+    ends = rest.select(F.col("a").alias("id")).unionAll(rest.select(F.col("b").alias("id")))
+    return linked.unionAll(confirmed(rest, full_sets(docs, ends, size, id_col, text), percent))
 
 
 def _apart(placed: DataFrame) -> DataFrame:
