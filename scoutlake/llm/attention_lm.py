@@ -37,7 +37,7 @@ BEGIN = LOW + HASHED
 SINGLES, GROUPS = 46, 16
 CLASSES = SINGLES + GROUPS + 1
 END = CLASSES - 1
-SHARE, ROUNDS, BATCH, RATE = 16, 2, 64, 5e-3
+SHARE, ROUNDS, BATCH, RATE = 16, 2, 64, 0.02
 WINDOWS = 512
 END_WORD = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 SEED = 11
@@ -237,59 +237,88 @@ def shaped(vector: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def windows_of(ids: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(windows, WIDTH) input slots and target classes; -1 for targets that another window scores."""
+def window_count(ids: np.ndarray) -> int:
+    return 1 if len(ids) < WIDTH else 1 - (WIDTH - len(ids) - 1) // STRIDE
+
+
+def windows_of(ids: np.ndarray, classes: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, WIDTH) input slots and target classes of all or the chosen windows; -1 where another window scores."""
     n = len(ids) + 1
+    chosen = np.arange(window_count(ids)) if chosen is None else chosen
     slots = np.empty(n, np.int32)
     slots[0] = BEGIN
     slots[1:] = np.where(ids < LOW, ids, LOW + ids % HASHED)
     targets = np.append(classes[ids], END)
-    count = 1 if n <= WIDTH else 1 - (WIDTH - n) // STRIDE
-    places = np.arange(count)[:, None] * STRIDE + np.arange(WIDTH)
+    places = chosen[:, None] * STRIDE + np.arange(WIDTH)
     real = places < n
     places = np.minimum(places, n - 1)
     scored = real.copy()
-    scored[1:, : WIDTH - STRIDE] = False
+    scored[chosen > 0, : WIDTH - STRIDE] = False
     return slots[places], np.where(scored, targets[places], -1).astype(np.int32)
 
 
 _MASK = np.triu(np.full((WIDTH, WIDTH), -1e9, np.float32), 1)
+# The exponential of both normalisations is (1 + z / 64) ** 64 for z <= 0, six squarings instead of a
+# library call; whatever function is taken, the shares add up to 1.
+FOLD, LEAST = np.float32(64), np.float32(0.02)
+
+
+def _base(z: np.ndarray) -> np.ndarray:
+    """1 + (z - max) / 64 along the last axis, in place, at least `LEAST`."""
+    z -= z.max(axis=-1, keepdims=True)
+    z /= FOLD
+    z += np.float32(1)
+    return np.maximum(z, LEAST, out=z)
+
+
+def _power(t: np.ndarray) -> np.ndarray:
+    """t ** 64."""
+    t = t * t
+    for _ in range(5):
+        t *= t
+    return t
 
 
 def attend(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Batched masked attention: (input, queries, keys, values, weights, mixed values, output)."""
-    q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(DIMS**-0.5)
-    a += _MASK
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
+    """Batched masked attention: (input, queries, keys, values, bases, weights, mixed values, output)."""
+    q, k, v = x @ (w["q"] * np.float32(DIMS**-0.5)), x @ w["k"], x @ w["v"]
+    t = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+    t += _MASK
+    a = _power(_base(t))
     a /= a.sum(axis=2, keepdims=True)
     m = a @ v
-    return x, q, k, v, a, m, x + m @ w["o"]
+    return x, q, k, v, t, a, m, x + m @ w["o"]
+
+
+def class_shares(w: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bases, powers and their sums for the classes."""
+    t = _base(h @ w["u"] + w["b"])
+    p = _power(t)
+    return t, p, p @ np.ones(CLASSES, np.float32)
 
 
-def log_shares(w: dict[str, np.ndarray], h: np.ndarray) -> np.ndarray:
-    """Natural log probabilities of the classes."""
-    z = h @ w["u"] + w["b"]
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def log_shares(w: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Natural log probabilities of the target classes."""
+    t, _, total = class_shares(w, h)
+    return FOLD * np.log(t[np.arange(len(h)), targets]) - np.log(total)
 
 
 def slopes(w: dict[str, np.ndarray], slots: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the mean loss over the scored targets of some windows."""
-    x, q, k, v, a, m, h = attend(w, w["e"][slots] + w["p"])
+    x, q, k, v, base, a, m, h = attend(w, w["e"][slots] + w["p"])
     scored = targets >= 0
-    picked, t = h[scored], targets[scored]
-    dz = np.exp(log_shares(w, picked))
-    dz[np.arange(len(t)), t] -= 1
-    dz /= np.float32(max(len(t), 1))
+    picked, hit = h[scored], targets[scored]
+    t, p, total = class_shares(w, picked)
+    dz = p / total[:, None]
+    dz[np.arange(len(hit)), hit] -= 1
+    dz /= t * np.float32(max(len(hit), 1))
     dh = np.zeros_like(h)
     dh[scored] = dz @ w["u"].T
     dm = dh @ w["o"].T
     da = dm @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIMS**-0.5)
-    dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
+    ds = a / base * (da - (da * a).sum(axis=2, keepdims=True))
+    dk, dv = ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
+    dq = ds @ k * np.float32(DIMS**-0.5)
     dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
     rows = x.reshape(-1, DIMS)
     g = {name: rows.T @ d.reshape(-1, DIMS) for name, d in (("q", dq), ("k", dk), ("v", dv))}
@@ -321,14 +350,15 @@ def train_round(ids: DataFrame, weights: np.ndarray, classes: np.ndarray, turn:
 
         for batch in batches:
             for key, found in zip(batch.column("digest").to_pylist(), _id_arrays(batch)):
-                slots, targets = windows_of(found, classes)
-                chosen = np.flatnonzero((np.arange(len(slots)) + key) % SHARE == turn)
+                chosen = np.arange((turn - key) % SHARE, window_count(found), SHARE)
+                if not len(chosen):
+                    continue
+                slots, targets = windows_of(found, classes, chosen)
                 # A long text is taken in parts, so that no step grows with it.
                 for at in range(0, len(chosen), BATCH):
-                    part = chosen[at : at + BATCH]
-                    held.append((slots[part], targets[part]))
-                    count += len(part)
-                    seen += len(part)
+                    held.append((slots[at : at + BATCH], targets[at : at + BATCH]))
+                    count += len(held[-1][0])
+                    seen += len(held[-1][0])
                     if count >= BATCH:
                         update()
                         held.clear()
@@ -370,7 +400,7 @@ def model_scores(ids: DataFrame, weights: np.ndarray, tables: Tables) -> DataFra
                     s, t = slots[at : at + WINDOWS], targets[at : at + WINDOWS]
                     scored = t >= 0
                     h = attend(w, w["e"][s] + w["p"])[-1][scored]
-                    logs = log_shares(w, h)[np.arange(len(h)), t[scored]]
+                    logs = log_shares(w, h, t[scored])
                     rows = np.repeat(owner[at : at + WINDOWS], scored.sum(axis=1))
                     sums += np.bincount(rows, logs, len(texts)) / np.log(10)
                 scores.append(sums)
