@@ -16,8 +16,9 @@
    links cannot change it. In the others every pair across components is held
    against the estimate. In nodes that stayed large an exact bound comes first:
    hashes that no other set of a large node has cannot be in an intersection, so
-   edited copies whose edits are their own fall out before any pairing. What is
-   left is confirmed. No pair of a node that can matter is left out, and thousands
+   edited copies whose edits are their own fall out before any pairing; another
+   one is what both have in common with the node's first member. What is left is
+   confirmed. No pair of a node that can matter is left out, and thousands
    of copies cost no quadratic work.
 5. Links are confirmed on the full sets: exact intersection of all hashes.
 
@@ -146,13 +147,14 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text: str
     return stored(wanted.mapInArrow(sets_of, "id long, hashes array<long>"), "sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of the full sets."""
+def overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with the size of their intersection, and whether it makes them a link."""
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("left", "right"))
-    return both.filter(100 * common >= percent * (F.size("left") + F.size("right") - common)).select("a", "b")
+    counted = both.select("a", "b", F.size("left").alias("l"), F.size("right").alias("r"), F.size(F.array_intersect("left", "right")).alias("common"))
+    linked = 100 * F.col("common") >= percent * (F.col("l") + F.col("r") - F.col("common"))
+    return counted.select("a", "b", "common", linked.alias("linked"))
 
 
 def shared_counts(sets: DataFrame) -> DataFrame:
@@ -192,7 +194,8 @@ def links_between(
     stars = spokes.dropDuplicates(["a", "b"]).join(side, "a").filter(close("1", "2")).select("a", "b")
     stars = stored(stars, "stars")
     ends = stars.select(F.col("a").alias("id")).unionAll(stars.select(F.col("b").alias("id")))
-    linked = stored(confirmed(stars, full_sets(docs, ends, size, id_col, text), percent), "linked")
+    spoken = stored(overlaps(stars, full_sets(docs, ends, size, id_col, text), percent), "spokes")
+    linked = spoken.filter("linked").select("a", "b")
 
     # What is still apart within a node: all outside the node's largest component, against all others.
     roots = components(linked).select(F.col("node").alias("id"), "root")
@@ -203,10 +206,16 @@ def links_between(
     shared = shared_counts(full_sets(docs, large.select("id"), size, id_col, text))
     large = _apart(large.join(shared, "id").filter(100 * F.col("shared") >= percent * F.col("n")))
     small = placed.filter(~F.col("large")).withColumn("shared", F.col("n"))
-    placed = stored(small.unionByName(large), "open")
+    placed = small.unionByName(large)
+    # What a member has in common with the node's first member bounds what two members have in common.
+    hub = spoken.select("a", F.col("b").alias("id"), "common")
+    placed = placed.join(first, "node").join(hub, ["a", "id"], "left")
+    # A pair that shares several nodes is taken in the first one.
+    homes = placed.groupBy("id").agg(F.sort_array(F.collect_set("node")).alias("homes"))
+    placed = stored(placed.join(homes, "id"), "open")
     weights = placed.groupBy("node", "root").agg(F.count("*").alias("size"))
     core = weights.groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("core"))
-    carried = ("id", "n", "tokens", "root", "shared")
+    carried = ("id", "n", "tokens", "root", "shared", "common", "homes")
     others = placed.join(core, "node").filter("root <> core").select(
         "node", "core", *(F.col(c).alias(f"{c}1") for c in carried)
     )
@@ -215,11 +224,18 @@ def links_between(
     once = (F.col("root2") == F.col("core")) | (F.col("id1") < F.col("id2"))
     most = F.least("shared1", "shared2")
     may = 100 * most >= percent * (F.col("n1") + F.col("n2") - most)
-    met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & close("1", "2"))
+    own = [F.col(f"n{x}") - F.col(f"common{x}") for x in "12"]
+    through = F.coalesce(F.least("common1", "common2") + F.least(*own), most)
+    # `least` skips nulls, so the bound needs both overlaps.
+    through = F.when(F.col("common1").isNotNull() & F.col("common2").isNotNull(), through).otherwise(most)
+    may &= 100 * through >= percent * (F.col("n1") + F.col("n2") - through)
+    here = F.element_at(F.array_intersect("homes1", "homes2"), 1) == F.col("node")
+    met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & here & close("1", "2"))
     rest = met.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
     rest = stored(rest, "rest")
     ends = rest.select(F.col("a").alias("id")).unionAll(rest.select(F.col("b").alias("id")))
-    return linked.unionAll(confirmed(rest, full_sets(docs, ends, size, id_col, text), percent))
+    found = overlaps(rest, full_sets(docs, ends, size, id_col, text), percent).filter("linked")
+    return linked.unionAll(found.select("a", "b"))
 
 
 def _apart(placed: DataFrame) -> DataFrame:
