@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scoutlake.operators.windows import latest_per_key
 
@@ -51,20 +51,21 @@ def first_last(
     """First and last date per entity, with the lowest first and the highest last value.
 
     Rows are per (entity, labels); a label variant that touches neither end of
-    its entity's history gives no row. One pass: the end values travel inside the
+    its entity's history gives no row, and neither does a null entity. One pass: the end values travel inside the
     minimum and maximum, so no row-sized shuffle and no self-join is needed.
     """
-    dated = df.filter(F.col(date).isNotNull())
+    dated = df.filter(F.col(date).isNotNull() & F.col(entity).isNotNull())
     known_first = F.struct(F.col(date).alias("d"), F.col(value).isNull().alias("unknown"), F.col(value).alias("v"))
     known_last = F.struct(F.col(date).alias("d"), F.col(value).alias("v"))
     ends = dated.groupBy(entity, *labels).agg(
         F.min(known_first).alias("_first"), F.max(known_last).alias("_last")
     )
-    whole = Window.partitionBy(entity)
-    start, end = F.min("_first.d").over(whole), F.max("_last.d").over(whole)
-    if not labels:
-        start, end = F.col("_first.d"), F.col("_last.d")
-    placed = ends.withColumn("_start", start).withColumn("_stop", end)
+    start, end = F.min("_first.d").alias("_start"), F.max("_last.d").alias("_stop")
+    if labels:
+        # A second partial aggregate, so that no task sees all label variants of an entity.
+        placed = ends.join(ends.groupBy(entity).agg(start, end), entity)
+    else:
+        placed = ends.withColumns({"_start": F.col("_first.d"), "_stop": F.col("_last.d")})
     at_start = F.col("_first.d") == F.col("_start")
     at_stop = F.col("_last.d") == F.col("_stop")
     return placed.filter(at_start | at_stop).select(

@@ -71,9 +71,10 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     ),
     "defense": (
         "part",
-        "p_partkey % 3 <> 1",
+        None,
         {
-            "player_id": "p_partkey",
+            # A negated key belongs to no player.
+            "player_id": "CASE WHEN p_partkey % 3 = 1 THEN -p_partkey ELSE p_partkey END",
             "tackles_per_90": "CAST(p_size % 8 AS DOUBLE) + CAST(0.25 AS DOUBLE)",
             "interceptions_per_90": "CAST(p_size % 5 AS DOUBLE) + CAST(0.5 AS DOUBLE)",
             "pass_completion_pct": "CAST(60 + p_size % 40 AS DOUBLE)",
@@ -81,11 +82,11 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     ),
     "appearances": (
         "lineitem",
-        "l_partkey % 11 <> 3",
+        None,
         {
             "appearance_id": "CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN NULL "
             "ELSE CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) END",
-            "player_id": "l_partkey",
+            "player_id": "CASE WHEN l_partkey % 11 = 3 THEN -l_partkey ELSE l_partkey END",
             "goals": "CASE WHEN l_discount = 0.1 THEN NULL ELSE CAST(l_linenumber % 3 AS INT) END",
             "assists": "CAST(l_quantity AS INT) % 2",
             "yellow_cards": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END",
@@ -153,9 +154,9 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     ),
     "game_lineups": (
         "lineitem",
-        "l_orderkey % 17 <> 4",
+        None,
         {
-            "game_id": "l_orderkey",
+            "game_id": "CASE WHEN l_orderkey % 17 = 4 THEN -l_orderkey ELSE l_orderkey END",
             "club_id": "l_suppkey",
             "player_id": "CASE WHEN l_quantity = 1 THEN NULL ELSE l_partkey END",
             "type": "CASE WHEN l_returnflag = 'N' THEN 'bench' WHEN l_linestatus = 'F' THEN 'starting_lineup' "
@@ -166,7 +167,7 @@ SHAPES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     # Flat rows behind the JSON payloads.
     "match_rows": (
         "orders",
-        "o_orderkey % 3 <> 0",
+        None,
         {
             "match_id": "o_orderkey",
             "matchday": "CAST(o_custkey % 38 AS INT)",

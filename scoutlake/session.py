@@ -35,7 +35,9 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    # One process is its own cluster; `local-cluster[...]` is not one process.
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     return tempfile.mkdtemp(prefix="scoutlake-")
 
