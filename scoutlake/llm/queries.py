@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import attention_lm, byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, toxic_crf
+from scoutlake.llm import attention_lm, byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, token_counts, toxic_crf
 from scoutlake.llm.common import id_fold, stored
 
 
@@ -29,6 +29,11 @@ def op3_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return path_dedup.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
 
 
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return token_counts.section_tokens(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op5_licences(spark: SparkSession, sf: str) -> DataFrame:
     return licences.scan(table(spark, sf, "documents")).drop("matches")
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_lm_scores": op2_lm_scores,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_token_counts": op4_token_counts,
     "op5_licences": op5_licences,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,

@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from scoutlake.llm import attention_lm, byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, toxic_crf
+from scoutlake.llm import attention_lm, byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, token_counts, toxic_crf
 from scoutlake.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -234,3 +234,19 @@ def test_windows_score_each_id_once():
         ids = np.arange(n) % 46
         _, targets = attention_lm.windows_of(ids, classes)
         assert targets[targets >= 0].tolist() == [*ids, attention_lm.END]
+
+
+def test_section_tokens_add_up(docs, ranks):
+    encoding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    expected = collections.Counter()
+    for row in docs.collect():
+        text = row.text or ""
+        sections = [len(x.encode()) for x in re.findall(r"[^\n]*\n|[^\n]+", text)] or [0]
+        counts, at = [0] * len(sections), 0
+        ends = np.cumsum(sections)
+        for i in encoding.encode_ordinary(text):
+            counts[int(np.searchsorted(ends, at, "right"))] += 1
+            at += len(encoding.decode_single_token_bytes(i))
+        expected.update((row.doc_id, n, c) for n, c in enumerate(counts))
+    found = token_counts.section_tokens(docs, ranks, public_tokenizers.PATTERN).collect()
+    assert expected == collections.Counter((r.doc_id, r.section, r.n_tokens) for r in found)
