@@ -7,16 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+# The null text is one that no file holds: a field without quotes is null, quoted nothing is an empty text.
+CSV_READ = {"header": True, "escape": '"', "nullValue": "\x00"}
+
+
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, min_partitions: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    min_partitions: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header, gzipped or not; columns are matched to the header by name.
 
     Text that does not fit its type becomes null. A gzipped file is one task, so
-    `min_partitions` spreads the rows right after the scan.
+    `min_partitions` spreads the rows right after the scan. `multi_line` reads
+    line breaks inside quotes; a file is one task then.
     """
     # Every file's header is checked against the first one's, so columns cannot be mixed up silently.
-    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    reader = spark.read.options(**CSV_READ, enforceSchema=False, multiLine=multi_line)
     names = reader.csv(path).columns
     texts = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
     if min_partitions:

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+# Text is kept as it is, outer blanks and quotes included.
+CSV_WRITE = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -13,7 +17,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    df.write.mode(mode).options(**CSV_WRITE).csv(path)
 
 
 def write_parquet(
@@ -25,19 +29,28 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def write_raw(df: DataFrame, root: str, endpoint: str, kind: str, keep_history: bool = False) -> str:
-    """Raw layer: a fixed folder that is replaced, or one partition per ingestion time."""
-    path = f"{root}/{endpoint}"
-    if keep_history:
-        stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH-mm-ss-SSS")
-        df = df.withColumn("ingestion_ts", stamp)
-        writer = df.write.mode("append").partitionBy("ingestion_ts")
-        writer.option("header", True).csv(path) if kind == "csv" else writer.json(path)
-    elif kind == "csv":
-        write_csv(df, path)
+def new_stamp() -> str:
+    """Ingestion time as the name of a history partition."""
+    return f"{datetime.now(timezone.utc):%Y-%m-%dT%H-%M-%S-%f}"
+
+
+def raw_folder(root: str, endpoint: str, stamp: str | None = None) -> str:
+    """Folder of an endpoint, or of one of its ingestions."""
+    return f"{root}/{endpoint}" + (f"/ingestion_ts={stamp}" if stamp else "")
+
+
+def write_raw(
+    df: DataFrame, root: str, endpoint: str, kind: str, keep_history: bool = False, stamp: str | None = None
+) -> str:
+    """Raw layer: a fixed folder that is replaced, or one partition per ingestion time (`stamp`, default now)."""
+    target = raw_folder(root, endpoint, (stamp or new_stamp()) if keep_history else None)
+    if kind == "csv":
+        write_csv(df, target)
+    elif kind == "text":
+        df.write.mode("overwrite").text(target)
     else:
-        write_json(df, path)
-    return path
+        write_json(df, target)
+    return raw_folder(root, endpoint)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options: str) -> None:

@@ -185,6 +185,10 @@ def test_adhoc_reads_only(spark, rows):
     for text in ("DROP VIEW three", "INSERT INTO three VALUES (1)", "WITH t AS (SELECT 1) INSERT INTO three SELECT * FROM t"):
         with pytest.raises(Exception):
             rel.adhoc(spark, text)
+    for text in ("SELECT reflect('java.lang.Math', 'random')", "SELECT `java_method` ('a', 'b')", "SELECT * FROM csv.`/tmp/x`"):
+        with pytest.raises(ValueError, match="not allowed"):
+            rel.adhoc(spark, text)
+    assert rows(rel.adhoc(spark, "SELECT 'reflect(x)' AS t")) == [("reflect(x)",)]
     assert spark.table("three").count() == 3
 
 

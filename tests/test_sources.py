@@ -71,6 +71,23 @@ def test_sinks_round_trip(spark, tmp_path, rows):
     assert rows(readers.read_parquet(spark, str(tmp_path / "p"))) == rows(df)
 
 
+def test_csv_keeps_text(spark, tmp_path, rows):
+    texts = [(1, "  padded  "), (2, ""), (3, None), (4, 'say "hi", ok'), (5, "two\nlines"), (6, "\\")]
+    df = spark.createDataFrame(texts, "i int, s string")
+    sinks.write_csv(df, str(tmp_path / "c"))
+    assert rows(readers.read_csv(spark, str(tmp_path / "c"), df.schema, multi_line=True)) == rows(df)
+    kept = sinks.write_raw(df.filter("i <> 5"), str(tmp_path), "kept", "csv", keep_history=True, stamp="s")
+    assert rows(readers.read_csv(spark, f"{kept}/ingestion_ts=s", df.schema)) == rows(df.filter("i <> 5"))
+
+
+def test_promotion_does_not_mix_columns(spark, tmp_path):
+    put(tmp_path / "raw/players/a.csv", "a,b\n1,one\n")
+    put(tmp_path / "raw/players/b.csv", "b,a\ntwo,2\n")
+    report = quality.check_csv_files(spark, f"{tmp_path}/raw")
+    with pytest.raises(Exception, match="header"):
+        quality.promote(spark, report, f"{tmp_path}/raw", f"{tmp_path}/validated", "csv")
+
+
 def test_raw_naming(spark, tmp_path):
     df = spark.range(2)
     for _ in range(2):
@@ -219,6 +236,20 @@ def test_cascade(spark, tmp_path):
     assert log.filter("endpoint = 'players'").first().metadata["rows_before_filter"] == "3"
 
 
+def test_cascade_with_history_uses_the_keys_of_its_run(spark, tmp_path):
+    land(tmp_path)
+    root = str(tmp_path)
+    ingest.ingest_dumps(spark, f"{root}/csv", f"{root}/raw", f"{root}/audit", keep_history=True)
+    with gzip.open(tmp_path / "csv/clubs.csv.gz", "wt") as out:
+        out.write("club_id,name,domestic_competition_id\n2,B,GB1\n")
+    entries = ingest.ingest_dumps(spark, f"{root}/csv", f"{root}/raw", f"{root}/audit", keep_history=True)
+    assert {e["endpoint"]: e["rows_written"] for e in entries}["players"] == 1
+    for _ in range(2):
+        ingest.ingest_json(spark, f"{root}/json", f"{root}/raw", f"{root}/audit", keep_history=True)
+    items = spark.read.text(f"{root}/raw/json_api/matches")
+    assert items.count() == 4 and items.select("ingestion_ts").distinct().count() == 2
+
+
 def test_cascade_without_a_parent_keeps_its_dependants(spark, tmp_path):
     land(tmp_path, without=("clubs",))
     root = str(tmp_path)
