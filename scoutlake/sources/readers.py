@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-# The null text is one that no file holds: a field without quotes is null, quoted nothing is an empty text.
+# The null text is one that no file holds: nothing without quotes is null, quoted nothing is an empty text.
 CSV_READ = {"header": True, "escape": '"', "nullValue": "\x00"}
 
 
