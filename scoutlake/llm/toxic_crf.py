@@ -70,6 +70,20 @@ class Buckets(dict):
         return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
 
 
+class Marks(dict):
+    """Word -> whether one of its units is among the chosen ones."""
+
+    def __init__(self, chosen: frozenset[str]):
+        super().__init__()
+        self.chosen = chosen
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        found = self[word] = not self.chosen.isdisjoint(units(word.lower()))
+        return found
+
+
 def units(word: str) -> list[str]:
     """The word, and its first four and five characters as beginnings."""
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) >= n)]
@@ -227,6 +241,27 @@ def _sampled(docs: DataFrame, learn: DataFrame, text: str) -> DataFrame:
     return joined.groupBy("text").agg(F.max("label").alias("label"))
 
 
+def _contexts(sample: DataFrame) -> DataFrame:
+    """(label, word, before): the distinct words of each text with the word before, in lower case."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in text_slices(batch, rows=16):
+                labels, words, before = [], [], []
+                for text, label in zip(texts, part.column("label").to_pylist()):
+                    found = [w.lower() for w in WORD.findall(text)]
+                    pairs = set(zip(found, ["", *found]))
+                    labels += [label] * len(pairs)
+                    words += [w for w, _ in pairs]
+                    before += [b for _, b in pairs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(labels, pa.int32()), pa.array(words, pa.string()), pa.array(before, pa.string())],
+                    ["label", "word", "before"],
+                )
+
+    return sample.select("label", "text").mapInArrow(cut, "label int, word string, before string")
+
+
 def chosen_units(sample: DataFrame) -> list[str]:
     """The units (words and beginnings of words) that mark toxic documents of the sample.
 
@@ -237,12 +272,8 @@ def chosen_units(sample: DataFrame) -> list[str]:
     totals = sample.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     if not totals[0]:
         return []
-    words = F.transform(F.regexp_extract_all("text", F.lit(r"(?U)\w+"), F.lit(0)), F.lower)
-    found = sample.filter("text is not null").select("label", words.alias("words"))
-    pairs = F.arrays_zip(F.col("words").alias("word"), F.concat(F.array(F.lit("")), "words").alias("before"))
-    rows = found.select("label", F.explode(F.array_distinct(pairs)).alias("p")).select("label", "p.word", "p.before")
     toxic, clean = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    behind = rows.filter("word is not null").groupBy("word", "before").agg(toxic.alias("t"), clean.alias("c"))
+    behind = _contexts(sample).groupBy("word", "before").agg(toxic.alias("t"), clean.alias("c"))
     starts = [F.when(F.length("word") >= n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in BEGINNINGS]
     each = behind.select("t", "c", F.explode(F.array_compact(F.array("word", *starts))).alias("unit"))
     counted = stored(
@@ -259,18 +290,19 @@ def chosen_units(sample: DataFrame) -> list[str]:
 
 def _windows(sample: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Windows of packed buckets and their marks: around chosen words, and one anywhere in every document."""
-    marks = frozenset(lexicon)
+    chosen = frozenset(lexicon)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets()
+        buckets, marks = Buckets(), Marks(chosen)
         for batch in batches:
             for part, texts in text_slices(batch):
                 rows, flags = [], []
                 for text, label in zip(texts, part.column("label").to_pylist()):
-                    ids = buckets.of(text)
-                    if not len(ids):
+                    words = WORD.findall(text)
+                    if not words:
                         continue
-                    hit = np.array([not marks.isdisjoint(units(w.lower())) for w in WORD.findall(text)])
+                    ids = np.fromiter(map(buckets.__getitem__, words), np.int64, len(words))
+                    hit = np.fromiter(map(marks.__getitem__, words), bool, len(words))
                     starts = [xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) % len(ids)]
                     starts += [max(0, i - WIDTH // 2) for i in np.flatnonzero(hit)[: WINDOWS - 1].tolist()]
                     for at in starts:
