@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scoutlake.llm.common import WordHashes, bounded_batches, stored, text_slices
+from scoutlake.llm.common import WordHashes, bounded_batches, stored, text_slices, wider
 from scoutlake.llm.components import components
 
 TREES, DEPTH, LEAF = 12, 3, 48
@@ -130,27 +130,34 @@ def tree_nodes(classes: DataFrame, trees: int, depth: int, leaf: int) -> DataFra
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str, text: str) -> DataFrame:
-    """(id, hashes): the whole shingle sets of the documents in `ids`, stored."""
+    """(id, hashes) and the other columns of `ids` (one row per id): whole shingle sets, stored."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
 
+    names = ids.columns
+
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
             for part, texts in text_slices(batch):
                 sets = [shingle_hashes(t, size, words).view(np.int64) for t in texts]
+                kept = part.select(names)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"]
+                    [*kept.columns, pa.array(sets, pa.list_(pa.int64()))], [*names, "hashes"]
                 )
 
-    wanted = rows.join(ids.distinct(), "id", "left_semi")
-    return stored(wanted.mapInArrow(sets_of, "id long, hashes array<long>"), "sets")
+    wanted = rows.join(ids, "id")
+    return stored(wanted.mapInArrow(sets_of, wider(ids, "hashes array<long>")), "sets")
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def overlaps(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text: str) -> DataFrame:
     """The pairs (a, b) with the size of their intersection, and whether it makes them a link."""
-    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
+    sides = [pairs.select(F.col(x).alias("id"), *(F.lit(x == y).alias(f"is_{y}") for y in "ab")) for x in "ab"]
+    ends = sides[0].unionAll(sides[1]).groupBy("id").agg(*(F.max(f"is_{x}").alias(f"is_{x}") for x in "ab"))
+    sets = full_sets(docs, ends, size, id_col, text)
+    # Each side shuffles only the sets that it joins.
+    left = sets.filter("is_a").select(F.col("id").alias("a"), F.col("hashes").alias("left"))
+    right = sets.filter("is_b").select(F.col("id").alias("b"), F.col("hashes").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
     counted = both.select("a", "b", F.size("left").alias("l"), F.size("right").alias("r"), F.size(F.array_intersect("left", "right")).alias("common"))
     linked = 100 * F.col("common") >= percent * (F.col("l") + F.col("r") - F.col("common"))
@@ -179,7 +186,8 @@ def links_between(
     estimate: float,
 ) -> DataFrame:
     """Confirmed links (a, b) that join the classes to their components."""
-    nodes = stored(tree_nodes(classes, trees, depth, leaf).join(classes, "id"), "nodes")
+    # Tokens are long, so nodes go without them and pairs look them up.
+    nodes = stored(tree_nodes(classes, trees, depth, leaf), "nodes")
 
     def close(x: str, y: str) -> Column:
         fits = 100 * F.least(f"n{x}", f"n{y}") >= percent * F.greatest(f"n{x}", f"n{y}")
@@ -187,23 +195,19 @@ def links_between(
         return fits & (same >= int(estimate * trees * depth))
 
     first = nodes.groupBy("node").agg(F.min("id").alias("a"))
-    side = classes.select(F.col("id").alias("a"), F.col("n").alias("n2"), F.col("tokens").alias("tokens2"))
-    spokes = nodes.join(first, "node").filter("id <> a").select(
-        "a", F.col("id").alias("b"), F.col("n").alias("n1"), F.col("tokens").alias("tokens1")
-    )
-    stars = spokes.dropDuplicates(["a", "b"]).join(side, "a").filter(close("1", "2")).select("a", "b")
-    stars = stored(stars, "stars")
-    ends = stars.select(F.col("a").alias("id")).unionAll(stars.select(F.col("b").alias("id")))
-    spoken = stored(overlaps(stars, full_sets(docs, ends, size, id_col, text), percent), "spokes")
+    spokes = nodes.join(first, "node").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    ends = [classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"tokens{x}")) for x in "ab"]
+    stars = spokes.join(ends[0], "a").join(ends[1], "b").filter(close("a", "b")).select("a", "b")
+    spoken = stored(overlaps(stored(stars, "stars"), docs, size, percent, id_col, text), "spokes")
     linked = spoken.filter("linked").select("a", "b")
 
     # What is still apart within a node: all outside the node's largest component, against all others.
     roots = components(linked).select(F.col("node").alias("id"), "root")
     placed = nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = stored(_apart(placed), "apart")
+    placed = stored(_apart(placed).join(classes.select("id", "n"), "id"), "apart")
     # In a large node, a set with too many hashes of its own links with nothing and needs no partner.
     large = placed.filter("large")
-    shared = shared_counts(full_sets(docs, large.select("id"), size, id_col, text))
+    shared = shared_counts(full_sets(docs, large.select("id").distinct(), size, id_col, text))
     large = _apart(large.join(shared, "id").filter(100 * F.col("shared") >= percent * F.col("n")))
     small = placed.filter(~F.col("large")).withColumn("shared", F.col("n"))
     placed = small.unionByName(large)
@@ -212,7 +216,7 @@ def links_between(
     placed = placed.join(first, "node").join(hub, ["a", "id"], "left")
     # A pair that shares several nodes is taken in the first one.
     homes = placed.groupBy("id").agg(F.sort_array(F.collect_set("node")).alias("homes"))
-    placed = stored(placed.join(homes, "id"), "open")
+    placed = stored(placed.join(homes.join(classes.select("id", "tokens"), "id"), "id"), "open")
     weights = placed.groupBy("node", "root").agg(F.count("*").alias("size"))
     core = weights.groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("core"))
     carried = ("id", "n", "tokens", "root", "shared", "common", "homes")
@@ -232,9 +236,7 @@ def links_between(
     here = F.element_at(F.array_intersect("homes1", "homes2"), 1) == F.col("node")
     met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & here & close("1", "2"))
     rest = met.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
-    rest = stored(rest, "rest")
-    ends = rest.select(F.col("a").alias("id")).unionAll(rest.select(F.col("b").alias("id")))
-    found = overlaps(rest, full_sets(docs, ends, size, id_col, text), percent).filter("linked")
+    found = overlaps(stored(rest, "rest"), docs, size, percent, id_col, text).filter("linked")
     return linked.unionAll(found.select("a", "b"))
 
 
