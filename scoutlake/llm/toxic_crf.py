@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -50,19 +51,34 @@ class Model(NamedTuple):
     logistic: np.ndarray
 
 
+class Beginnings(dict):
+    """First characters of a word in lower case -> buckets of its beginnings, packed."""
+
+    def __missing__(self, head: str) -> int:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        found = 0
+        for at, unit in enumerate(units(head)[1:], 1):
+            found |= (1 + crc32(unit.encode()) % (BUCKETS - 1)) << 16 * at
+        self[head] = found
+        return found
+
+
 class Buckets(dict):
     """Word -> buckets of its units (the word in lower case and its two beginnings), packed into one number.
 
     Bucket 0 stands for the edge of a text and for a beginning that a short word does not have.
     """
 
+    def __init__(self):
+        super().__init__()
+        self.beginnings = Beginnings()
+
     def __missing__(self, word: str) -> int:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        found = 0
-        for at, unit in enumerate(units(word.lower())):
-            found |= (1 + xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass")) % (BUCKETS - 1)) << 16 * at
-        self[word] = found
+        word_low = word.lower()
+        found = self[word] = self.beginnings[word_low[: BEGINNINGS[-1]]] | 1 + crc32(word_low.encode()) % (BUCKETS - 1)
         return found
 
     def of(self, text: str) -> np.ndarray:
