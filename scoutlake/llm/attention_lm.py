@@ -8,8 +8,8 @@ Model: one layer of causal self-attention in numpy over the ids of a public
 byte-level tokenizer. It predicts the class of the next id; the id inside its class
 follows the counts of all training texts. Frequent ids are classes of their own, the
 others are grouped by how their bytes look. Weights are fitted by local steps in every
-task on a fixed share (1 in `SHARE` per round) of all training windows and averaged
-over the tasks, so what is learned from grows with the corpus.
+task and averaged over the tasks. Each round takes another 1 in `ROUNDS` of a text's
+windows, so after the last one every window of the training texts was learned from once.
 
 A text is scored in windows of `WIDTH` ids that overlap by `WIDTH - STRIDE`: a window
 scores the ids that the one before has not, with at least the overlap as context, so
@@ -37,7 +37,7 @@ BEGIN = LOW + HASHED
 SINGLES, GROUPS = 46, 16
 CLASSES = SINGLES + GROUPS + 1
 END = CLASSES - 1
-SHARE, ROUNDS, BATCH, RATE = 16, 2, 64, 0.02
+ROUNDS, BATCH, RATE = 2, 64, 0.02
 WINDOWS = 512
 END_WORD = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 SEED = 11
@@ -350,7 +350,7 @@ def train_round(ids: DataFrame, weights: np.ndarray, classes: np.ndarray, turn:
 
         for batch in batches:
             for key, found in zip(batch.column("digest").to_pylist(), _id_arrays(batch)):
-                chosen = np.arange((turn - key) % SHARE, window_count(found), SHARE)
+                chosen = np.arange((turn - key) % ROUNDS, window_count(found), ROUNDS)
                 if not len(chosen):
                     continue
                 slots, targets = windows_of(found, classes, chosen)

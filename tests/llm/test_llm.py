@@ -236,6 +236,19 @@ def test_windows_score_each_id_once():
         assert targets[targets >= 0].tolist() == [*ids, attention_lm.END]
 
 
+@pytest.mark.parametrize("digest", [5, -6])
+def test_every_window_is_learned_from(spark, digest):
+    ids = np.arange(400)
+    table = spark.createDataFrame([(digest, ids.tolist(), True), (digest + 2, [500], True)], "digest long, ids array<int>, train boolean")
+    # Ids differ, so the vector of an id moves only if a window that holds it was learned from.
+    weights = np.random.default_rng(4).normal(0, 0.3, len(attention_lm.flat(attention_lm.first_weights(np.zeros(attention_lm.CLASSES))))).astype(np.float32)
+    after = weights
+    for turn in range(attention_lm.ROUNDS):
+        after = attention_lm.train_round(table.coalesce(1), after, np.arange(1_000) % attention_lm.END, turn)
+    moved = (attention_lm.shaped(after)["e"] != attention_lm.shaped(weights)["e"]).any(axis=1)
+    assert np.flatnonzero(moved).tolist() == [*ids, 500, attention_lm.BEGIN]
+
+
 def test_section_tokens_add_up(docs, ranks):
     encoding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     expected = collections.Counter()
