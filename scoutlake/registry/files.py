@@ -42,6 +42,15 @@ def parquet_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("game_id", "date", "home_club_id", "attendance")
 
 
+def parquet_whole_table(spark: SparkSession, sf: str) -> DataFrame:
+    """All seasons and columns; the reader takes the season from the folder names."""
+    path = work_dir(spark, "parquet")
+    games = shape(spark, sf, "games").withColumn("date", F.to_date("date"))
+    sinks.write_parquet(games, path, sort_by=["date"], partition_by=["season"])
+    kept = readers.read_parquet(spark, path).withColumn("season", F.col("season").cast("string"))
+    return kept.select(games.columns)
+
+
 def wrapped_json(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "json")
     sinks.write_json(match_documents(spark, sf), path)
@@ -78,6 +87,16 @@ def raw_history(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumn("fixed_rows", spark.read.option("header", True).csv(fixed).agg(F.count("*")).scalar())
 
 
+def raw_history_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of both ingestions, with their types."""
+    root = work_dir(spark, "raw")
+    rows = shape(spark, sf, "game_lineups")
+    for _ in range(2):
+        kept = sinks.write_raw(rows, root, "kept", "csv", keep_history=True)
+    history = spark.read.option("header", True).csv(kept)
+    return history.select(*(F.col(name).cast(kind).alias(name) for name, kind in rows.dtypes))
+
+
 def csv_file_report(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per dataset and whether any file holds some; one dataset has a header only.
 
@@ -262,6 +281,9 @@ QUERIES = {
         oracle("""SELECT game_id, CAST(date AS DATE) AS date, home_club_id, attendance FROM games
                   WHERE season = '1997'"""),
     ),
+    "parquet_whole_table": Query(
+        parquet_whole_table, oracle("SELECT * REPLACE (CAST(date AS DATE) AS date) FROM games")
+    ),
     "wrapped_json": Query(wrapped_json, MATCH_FIELDS),
     "bare_json": Query(bare_json, MATCH_FIELDS),
     "league_payloads": Query(
@@ -272,6 +294,9 @@ QUERIES = {
         oracle("""SELECT 2 * count(*) AS kept_rows, CAST(2 AS BIGINT) AS ingestions, count(*) AS fixed_rows
                   FROM game_lineups"""),
     ),
+    "raw_history_rows": Query(
+        raw_history_rows, oracle("SELECT * FROM game_lineups UNION ALL SELECT * FROM game_lineups")
+    ),
     "csv_file_report": Query(
         csv_file_report,
         oracle("""SELECT 'appearances' AS dataset, count(*) AS rows, true AS any_valid FROM appearances
