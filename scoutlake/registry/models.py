@@ -9,9 +9,6 @@ from scoutlake.ml import match_goals, player_value
 from scoutlake.registry import Query, gold
 from scoutlake.registry.oracle import oracle
 
-# Small boosters: the registered queries show that a model trains and predicts on the whole tables.
-TREES, DEPTH = 5, 3
-
 
 def player_features(spark: SparkSession, sf: str) -> DataFrame:
     wanted = ("player_id", "position", "age", "height_in_cm", *player_value.FEATURES[6:11], player_value.LEAKING_FEATURE)
@@ -43,7 +40,7 @@ def game_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def _player_model(spark: SparkSession, sf: str):
     features = player_value.player_features(gold.players(spark, sf)).cache()
-    return features, *player_value.train_player_value(features, TREES, DEPTH)
+    return features, *player_value.train_player_value(features)
 
 
 def player_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +61,7 @@ def value_potential(spark: SparkSession, sf: str) -> DataFrame:
 def _goals_model(spark: SparkSession, sf: str):
     games = gold.games(spark, sf).cache()
     strength = match_goals.team_strength(games)
-    return strength, *match_goals.train_match_goals(match_goals.game_features(games, strength), TREES, DEPTH)
+    return strength, *match_goals.train_match_goals(match_goals.game_features(games, strength))
 
 
 def goals_model_metrics(spark: SparkSession, sf: str) -> DataFrame:

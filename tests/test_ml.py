@@ -105,3 +105,32 @@ def test_match_goals_model_and_fixtures(games):
     )
     assert first.tendency in ("open", "balanced") and first.likely_score.count("-") == 1
     assert rows[2].predicted_goals is None
+
+
+def test_registered_models_are_those_of_the_operators(monkeypatch):
+    """The queries pass no sizes of their own, so the operators' 200 x 6 and 150 x 4 hold."""
+    from scoutlake.registry import models
+
+    seen = {}
+
+    def train(name, found):
+        def record(features, *sizes, **named):
+            seen[name] = (sizes, named)
+            return None, None, None
+
+        monkeypatch.setattr(found, name, record)
+
+    train("train_player_value", player_value)
+    train("train_match_goals", match_goals)
+    for module, name in ((models.gold, "players"), (models.gold, "games")):
+        monkeypatch.setattr(module, name, lambda *_: _Cached())
+    for module, name in ((player_value, "player_features"), (match_goals, "team_strength"), (match_goals, "game_features")):
+        monkeypatch.setattr(module, name, lambda *_: _Cached())
+    models._player_model(None, "")
+    models._goals_model(None, "")
+    assert seen == {"train_player_value": ((), {}), "train_match_goals": ((), {})}
+
+
+class _Cached:
+    def cache(self):
+        return self
