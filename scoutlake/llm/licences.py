@@ -2,10 +2,10 @@
 
 1. A text's words that occur in any template are its postings, with positions.
 2. Inverse document frequencies of the template words are counted over all texts.
-3. A text's anchors are its `ANCHORS` licence words of highest IDF, whatever that
-   is: no word is too frequent to serve. Every place of an anchor votes, for each
-   place the word has in a template, for the position at which the template would start.
-4. A template is found at a voted start if its mandatory key phrase stands where the
+3. A template's anchor is the word of highest IDF in its mandatory key phrase, whatever
+   that is: no word is too frequent to serve. Every place of an anchor votes for the
+   position at which the template would start, whatever else stands in the text.
+4. A template is found at a voted start if its key phrase stands where the
    template has it. A key phrase elsewhere in the text is found as well, by the
    phrase alone. The score is the largest IDF share of a template's words that stand
    in place, from 0 (no licence) to 1 (a whole template).
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scoutlake.llm.common import stored
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-ANCHORS = 12
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Label, mandatory key phrase, and the words of the notice around it.
@@ -81,6 +80,19 @@ def starts(hits: Column, phrase: str) -> Column:
     return F.array_sort(functools.reduce(F.array_intersect, (places(i, w) for i, w in enumerate(phrase.split()))))
 
 
+def _entries(phrase: str, body: str) -> list[tuple[int, str, bool, bool]]:
+    """(place, word, of the notice, of the key phrase) of a template."""
+    noted = set(enumerate(body.split()))
+    keyed = {(_offset(phrase, body) + i, w) for i, w in enumerate(phrase.split())}
+    return [(i, w, (i, w) in noted, (i, w) in keyed) for i, w in sorted(noted | keyed)]
+
+
+def _offset(phrase: str, body: str) -> int:
+    """Place of the key phrase in its notice; 0 if it does not stand there."""
+    words, key = body.split(), phrase.split()
+    return next((i for i in range(len(words)) if words[i : i + len(key)] == key), 0)
+
+
 def word_weights(found: DataFrame) -> DataFrame:
     """(word, idf) of the vocabulary over all texts; as many rows as the vocabulary has words."""
     total = found.agg(F.count("*").alias("n"))
@@ -93,7 +105,6 @@ def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str, str]] = TEMPLATES,
     base: Mapping[str, str] = BASE,
-    anchors: int = ANCHORS,
     id_col: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -104,24 +115,24 @@ def scan(
     found = stored(postings(docs, vocabulary, id_col, text), "postings")
     # No more rows than the vocabulary and the templates have words: both may be broadcast.
     weights = F.broadcast(stored(word_weights(found), "word-weights"))
-    listed = [(t, label, i, w) for t, (label, _, body) in enumerate(templates) for i, w in enumerate(body.split())]
-    index = spark.createDataFrame(listed, "template int, label string, place int, word string").join(weights, "word", "left")
-    index = stored(index.withColumn("idf", F.coalesce("idf", F.lit(0.0))), "template-index")
-    totals = index.groupBy("template").agg(F.sum("idf").alias("whole"))
+    listed = [(t, *entry) for t, (_, phrase, body) in enumerate(templates) for entry in _entries(phrase, body)]
+    index = spark.createDataFrame(listed, "template int, place int, word string, of_body boolean, of_key boolean")
+    index = stored(index.join(weights, "word", "left").withColumn("idf", F.coalesce("idf", F.lit(0.0))), "template-index")
+    weight = F.when(F.col("of_body"), F.round("idf", 9)).otherwise(F.lit(0.0)).cast("decimal(20,9)")
+    totals = index.groupBy("template").agg(F.sum(weight).cast("double").alias("whole"))
+    # A key phrase cannot stand without its rarest word, so no occurrence goes without a vote.
+    anchors = index.filter("of_key").groupBy("template").agg(F.max_by("place", F.struct("idf", -F.col("place"))).alias("anchor"))
+    index = index.join(F.broadcast(anchors), "template")
 
     hits = found.filter(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.word", "h.at")
-    hits = hits.join(weights, "word")
-    ranked = hits.select("uid", "word", "idf").distinct().groupBy("uid").agg(
-        F.slice(F.sort_array(F.collect_set(F.struct("idf", "word")), asc=False), 1, anchors).alias("top")
-    )
-    aligned = hits.join(ranked, "uid").join(F.broadcast(index.select("word", "template", "place")), "word")
+    # Dealt by text before the words meet the index: the alignments, many more, are summed where they arise.
+    aligned = hits.repartition("uid").join(F.broadcast(index), "word")
     start = F.col("at") - F.col("place")
-    voting = F.array_contains(F.col("top.word"), F.col("word"))
     votes = aligned.groupBy("uid", "template", start.alias("start")).agg(
-        F.sum(F.round("idf", 9).cast("decimal(20,9)")).alias("weight"), F.count_if(voting).alias("votes")
+        F.sum(weight).alias("weight"), F.count_if(F.col("place") == F.col("anchor")).alias("votes")
     )
     votes = votes.filter("votes > 0").join(F.broadcast(totals), "template")
-    share = F.least(F.lit(1.0), F.col("weight").cast("double") / F.col("whole"))
+    share = F.when(F.col("whole") > 0, F.least(F.lit(1.0), F.col("weight").cast("double") / F.col("whole"))).otherwise(0.0)
     aligned_at = votes.groupBy("uid").agg(F.collect_list(F.struct("template", "start", share.alias("share"))).alias("aligned"))
 
     rows = found.join(aligned_at, "uid", "left")
@@ -152,8 +163,7 @@ def scan(
 
 def _matches(number: int, label: str, phrase: str, body: str) -> Column:
     """(label, start, share) wherever the key phrase of a template stands; share of the alignment it stands in."""
-    words, key = body.split(), phrase.split()
-    offset = next(i for i in range(len(words)) if words[i : i + len(key)] == key) if phrase in body else 0
+    offset = _offset(phrase, body)
 
     def match(at: Column) -> Column:
         here = F.filter("aligned", lambda a: (a["template"] == number) & (a["start"] == at - offset))

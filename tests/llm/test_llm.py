@@ -135,6 +135,32 @@ def test_licences_base_equals_brute_force(spark, docs):
     assert licences.scan(empty(spark)).count() == 0
 
 
+def test_licence_matches_equal_brute_force(spark, docs):
+    # Prose with more than a dozen licence words rarer than the notice that stands in it whole.
+    prose = "copyright rights reserved hereby granted charge person obtaining copy redistribution source binary forms unencumbered mozilla creative"
+    more = [(10_000 + i, "Released under the MIT License.") for i in range(60)]
+    more += [(20_000, f"{prose} Released under the MIT License."), (20_001, f"{prose} under the mit license, {prose} licensed under cc by sa 4.0")]
+    rows = docs.unionAll(spark.createDataFrame(more, "doc_id long, text string")).collect()
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) for r in rows]
+    df = collections.Counter(w for found in words for w in set(found))
+    want = collections.Counter()
+    for row, found in zip(rows, words):
+        matches = []
+        for label, phrase, body in licences.TEMPLATES:
+            body, key = body.split(), phrase.split()
+            offset = next(i for i in range(len(body)) if body[i:i + len(key)] == key)
+            idf = [math.log((len(rows) + 1) / df[w] + 1) if df[w] else 0 for w in body]
+            for at in range(len(found)):
+                if found[at:at + len(key)] == key:
+                    stands = [0 <= at - offset + i < len(found) and found[at - offset + i] == w for i, w in enumerate(body)]
+                    matches.append((label, at, round(sum(x for x, y in zip(idf, stands) if y) / sum(idf), 4)))
+        want[(row.doc_id, max((m[2] for m in matches), default=0), tuple(matches))] += 1
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    scanned = licences.scan(table).collect()
+    assert {r.score for r in scanned if r.doc_id == 20_000} == {1.0}
+    assert want == collections.Counter((r.doc_id, round(r.score, 4), tuple((m.label, m.start, round(m.share, 4)) for m in r.matches)) for r in scanned)
+
+
 def test_fingerprints(spark, docs):
     rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
     expected = collections.Counter()
