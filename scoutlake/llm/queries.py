@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from scoutlake.llm import attention_lm, byte_bpe, fingerprints, grid_join, licences, mixing, path_dedup, quality_net, token_counts, toxic_crf
+from scoutlake.llm import (
+    attention_lm, byte_bpe, fingerprints, grid_join, language_id, licences, middle_fill, mixing, path_dedup, quality_net,
+    token_alignment, token_counts, toxic_crf,
+)
 from scoutlake.llm.common import id_fold, stored
 
 
@@ -73,6 +76,32 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    predicted = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    return predicted.select("doc_id", (id_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    filled = middle_fill.transform(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    return middle_fill.restore(filled).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    tokenizers = token_alignment.load(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
+    )
+    aligned = token_alignment.align_documents(docs, tokenizers, token_alignment.pair_table(docs, tokenizers))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_lm_scores": op2_lm_scores,
@@ -84,7 +113,11 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_fingerprints": op10_fingerprints,
+    "op11_language_id": op11_language_id,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES = {
     "op8_mixing": mixing.ORACLE,
+    "op12_fill_in_middle": middle_fill.ORACLE,
 }
