@@ -114,8 +114,8 @@ GOLD = {
         date_of_birth date, country_of_citizenship string, country_of_birth string, position string,
         sub_position string, foot string, height_in_cm double, current_club_id string,
         current_club_name string, market_value_in_eur double, highest_market_value_in_eur double,
-        total_goals int, total_assists int, total_yellow int, total_red int, total_minutes int,
-        total_appearances int, contract_expiration_date date, agent_name string, image_url string,
+        total_goals long, total_assists long, total_yellow long, total_red long, total_minutes long,
+        total_appearances long, contract_expiration_date date, agent_name string, image_url string,
         tackles_per_90 double, interceptions_per_90 double, pass_completion_pct double"""
     ),
     "matches": _struct(

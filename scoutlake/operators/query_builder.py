@@ -36,17 +36,24 @@ class QuerySpec:
 
 
 def predicate(df: DataFrame, spec: Filter) -> Column:
-    """One comparison; the value takes the column's type, so no text is ever spliced."""
+    """One comparison; the value takes the column's type, so no text is ever spliced. A value that has none is an error."""
     if spec.op == "LIKE":
         return contains_literal(spec.column, str(spec.value))
     if spec.op not in OPERATORS:
         raise ValueError(f"unknown operator: {spec.op}")
-    value = F.lit(spec.value).try_cast(df.schema[spec.column].dataType)
-    return OPERATORS[spec.op](F.col(spec.column), value)
+    kind = df.schema[spec.column].dataType
+    # One value, cast by Spark itself, so that it is read as a cell of the column would be.
+    value = df.sparkSession.range(1).select(F.lit(spec.value).try_cast(kind).alias("v")).first().v
+    if value is None:
+        raise ValueError(f"no {kind.simpleString()} for {spec.column}: {spec.value!r}")
+    return OPERATORS[spec.op](F.col(spec.column), F.lit(spec.value).try_cast(kind))
 
 
 def build_query(df: DataFrame, spec: QuerySpec) -> DataFrame:
-    """AND of all filters that have a column and a value; all columns when none is named."""
+    """AND of all filters that have a column and a value; all columns when none is named.
+
+    Without `order_by` a limit takes any rows.
+    """
     active = [f for f in spec.filters if f.column and f.value not in ("", None)]
     named = [*spec.columns, *(f.column for f in active), *spec.order_by]
     unknown = sorted({c for c in named if c not in df.columns})

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from scoutlake.operators.query_text import run_query_text
+
 
 def select_existing(df: DataFrame, columns: Sequence[str], strict: bool = False) -> DataFrame:
     """The listed columns that exist, in list order; `strict` makes a missing one an error."""
@@ -114,21 +115,6 @@ def lookup(df: DataFrame, column: str, value: Any) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value))
 
 
-_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", re.DOTALL)
-# Calls of Java code, names made at run time, and files named as tables.
-_REFUSED = re.compile(
-    r"`?\b(?:reflect|try_reflect|java_method|identifier)\b`?\s*\(|\.\s*`[^`]*[/:.][^`]*`", re.IGNORECASE
-)
-
-
 def adhoc(spark: SparkSession, text: str) -> DataFrame:
-    """A read-only SQL text over the registered views.
-
-    The text is placed as a subquery, where the grammar has no room for a
-    statement that changes anything. Functions that call Java code and tables
-    named by a file path are refused.
-    """
-    refused = _REFUSED.search(_QUOTED.sub("''", text))
-    if refused:
-        raise ValueError(f"not allowed in a query text: {refused.group()}")
-    return spark.sql("SELECT * FROM (\n" + text.strip().rstrip(";") + "\n)")
+    """A read-only SQL text over the registered views, checked on its parsed plan."""
+    return run_query_text(spark, text)

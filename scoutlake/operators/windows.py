@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scoutlake.functions.metrics import pct_change
-from scoutlake.operators.skew import HOT_ROWS, heavy_keys
+from scoutlake.operators.ranges import range_sorted, stored_parts
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -20,70 +22,89 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     return df.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def _slot(df: DataFrame, time: str) -> tuple[Column, Column]:
-    """(slot of the time column, slot of a null): days of a date, hours of a timestamp, else the values.
-
-    Slots follow the order of the column, so an entity's history can be cut between them.
-    """
-    kind = dict(df.dtypes)[time]
-    if kind == "date":
-        return F.unix_date(time), F.lit(-(2**31))
-    if kind.startswith("timestamp"):
-        return F.unix_date(F.to_date(time)) * 24 + F.hour(time), F.lit(-(2**31))
-    return F.col(time).cast("string"), F.lit("")
-
-
 def with_previous(
     df: DataFrame,
     entity: str,
     order_by: Sequence[str],
     value: str,
     alias: str = "prev_value",
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Value of the preceding row of the same entity, in `order_by` order.
 
     `order_by` starts with the time column and goes on with tie-breakers; the
-    value itself breaks what is left, so the result is reproducible. An entity
-    with more than `hot_rows` rows is windowed slot by slot (days or hours); the
-    first row of a slot then gets the last value of the slot before, taken from a
-    table with one row per (hot entity, slot) that is aggregated map-side. Rows
-    without an entity form one history like any other.
+    value itself breaks what is left, so the result is reproducible. Nulls come first,
+    and rows without an entity form one history like any other. The columns must be atomic.
+
+    Rows are dealt to `parts` ranges of (entity, order) and sorted, so that a history of any
+    length is spread over tasks, one day of one entity included. Each task looks one row
+    back; the first row of a range gets the last value of the range before, from a table of one row
+    a range. The rows are stored in the shared folder once, and read from there.
     """
-    time = order_by[0]
-    slot, whole = _slot(df, time)
+    kept = [c for c in df.columns if c != alias]
     order = list(dict.fromkeys([*order_by, value]))
-    # A key without nulls, so that plain equi-joins find the history of the missing entity too.
-    key = ["_null", "_key"]
-    keyed = df.withColumns(
-        {"_null": F.col(entity).isNull(), "_key": F.coalesce(entity, F.lit("0").try_cast(df.schema[entity].dataType))}
-    )
-
-    hot = heavy_keys(keyed, key, hot_rows).withColumn("_hot", F.lit(True))
-    split = keyed.join(F.broadcast(hot), key, "left").withColumn(
-        "_part", F.when(F.col("_hot"), F.coalesce(slot, whole)).otherwise(whole)
+    # Rows that are equal in the whole order are still told apart, so that no range has to hold them all.
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c in plain))
+    placed = range_sorted(df, [entity, *order, tie], parts)
+    found = T.StructType([
+        *placed.schema.fields, T.StructField("_prev", df.schema[value].dataType),
+        T.StructField("_first", T.BooleanType()), T.StructField("_last", T.BooleanType()),
+    ])
+    rows = stored_parts(placed.mapInArrow(_one_back(entity, value), found), "previous")
+
+    before = Window.orderBy("_part")
+    ends = rows.filter("_last").select("_part", F.col(entity).alias("_end_entity"), F.col(value).alias("_end_value"))
+    carried = ends.select(
+        "_part", F.lag("_end_entity").over(before).alias("_end_entity"), F.lag("_end_value").over(before).alias("_end_value"),
+        F.lit(True).alias("_first"), (F.row_number().over(before) > 1).alias("_follows"),
     )
-    within = Window.partitionBy(*key, "_part").orderBy(*order)
-    rows = split.select(
-        "*",
-        F.lag(value).over(within).alias("_prev"),
-        F.row_number().over(within).alias("_rn"),
+    # One row per range, so it may be broadcast.
+    linked = rows.join(F.broadcast(carried), ["_part", "_first"], "left")
+    goes_on = F.col("_follows") & F.col(entity).eqNullSafe(F.col("_end_entity"))
+    return linked.withColumn("_found", F.when(goes_on, F.col("_end_value")).otherwise(F.col("_prev"))).select(
+        *kept, F.col("_found").alias(alias)
     )
 
-    ends = (
-        split.filter(F.col("_hot"))
-        .groupBy(*key, "_part")
-        .agg(F.min(time).alias("_start"), F.max(F.struct(*order)).alias("_end"))
-    )
-    across = Window.partitionBy(*key).orderBy("_start")
-    carried = ends.select(*key, "_part", F.lag(F.col("_end")[value]).over(across).alias("_carried"))
-
-    opens_slot = F.col("_hot") & (F.col("_rn") == 1)
-    return (
-        rows.join(carried, [*key, "_part"], "left")
-        .withColumn(alias, F.when(opens_slot, F.col("_carried")).otherwise(F.col("_prev")))
-        .select(*df.columns, alias)
-    )
+
+def _one_back(entity: str, value: str):
+    """Batches of one sorted partition with the value of the row before, and marks at both ends.
+
+    The function is nested so that it ships by value: executors need no copy of this package.
+    """
+
+    def one_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None
+
+        def marked(batch: pa.RecordBatch, previous: pa.Array, first: bool, final: bool) -> pa.RecordBatch:
+            n = batch.num_rows
+            starts, ends = [first] + [False] * (n - 1), [False] * (n - 1) + [final]
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, previous, pa.array(starts), pa.array(ends)],
+                [*batch.schema.names, "_prev", "_first", "_last"],
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, values = batch.column(entity), batch.column(value)
+            first = last is None
+            name_before, value_before = last or (pa.nulls(1, names.type), pa.nulls(1, values.type))
+            shifted = pa.concat_arrays([name_before, names.slice(0, len(names) - 1)])
+            back = pa.concat_arrays([value_before, values.slice(0, len(values) - 1)])
+            same = pc.or_(pc.fill_null(pc.equal(names, shifted), False), pc.and_(names.is_null(), shifted.is_null()))
+            if pa.types.is_floating(names.type):
+                same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(names), pc.is_nan(shifted)), False))
+            if first:
+                same = pc.and_(same, pa.array([False] + [True] * (len(names) - 1)))
+            if held:
+                yield marked(*held, False)
+            held = (batch, pc.if_else(same, back, pa.scalar(None, values.type)), first)
+            last = names.slice(len(names) - 1), values.slice(len(values) - 1)
+        if held:
+            yield marked(*held, True)
+
+    return one_back
 
 
 def with_change(
@@ -94,8 +115,8 @@ def with_change(
     previous: str = "prev_value",
     change: str = "value_change_pct",
     digits: int | None = 2,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Previous value and percent change per entity."""
-    lagged = with_previous(df, entity, order_by, value, previous, hot_rows)
+    lagged = with_previous(df, entity, order_by, value, previous, parts)
     return lagged.withColumn(change, pct_change(value, previous, digits))

@@ -20,7 +20,6 @@ from scoutlake.functions.dates import DAYS_PER_YEAR
 from scoutlake.operators.aggregates import dedup_by_key, distinct_per_key, sum_profile
 from scoutlake.operators.fuzzy import CUTOFF, apply_mapping, fuzzy_map
 from scoutlake.operators.relational import conform, enrich, select_existing, with_typed_nulls
-from scoutlake.operators.skew import HOT_ROWS
 from scoutlake.operators.windows import with_change
 
 # Gold metric -> appearance column.
@@ -54,7 +53,7 @@ def players_gold(
         df = enrich(df, defense, "player_id", {c: c for c in DEFENSE_METRICS})
     df = with_typed_nulls(df, {"date_of_birth": "string", **{c: "double" for c in DEFENSE_METRICS}})
     born = parse_date("date_of_birth")
-    derived = {c: coalesce_zero(c) for c in (*APPEARANCE_SUMS, "total_appearances")}
+    derived = {c: coalesce_zero(c, "bigint") for c in (*APPEARANCE_SUMS, "total_appearances")}
     derived |= {c: coalesce_zero(c, "double") for c in DEFENSE_METRICS}
     derived |= {"age": age_years(born, _today(as_of)), "date_of_birth": born}
     if "contract_expiration_date" in players.columns:
@@ -128,15 +127,14 @@ def valuations_gold(
     valuations: DataFrame,
     players: DataFrame,
     tie_break: Sequence[str] = ("current_club_id",),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Market-value history with the change against the player's previous valuation.
 
-    The window runs on the narrow fact, before the player columns are joined on.
+    The previous value is found on the narrow fact, before the player columns are joined on.
     """
     dated = valuations.withColumn("valuation_date", parse_date("date"))
     order = ["valuation_date", "market_value_in_eur", *tie_break]
-    changed = with_change(dated, "player_id", order, "market_value_in_eur", hot_rows=hot_rows)
+    changed = with_change(dated, "player_id", order, "market_value_in_eur")
     info = {c: c for c in ("position", "sub_position", "country_of_citizenship", "date_of_birth")}
     df = enrich(changed, players, "player_id", {"player_name": "name", **info})
     age = age_years(parse_date("date_of_birth"), F.col("valuation_date"))

@@ -34,9 +34,9 @@ GOLD_SQL = {
           p.position, p.sub_position, p.foot, p.height_in_cm,
           CAST(p.current_club_id AS VARCHAR) AS current_club_id, p.current_club_name,
           p.market_value_in_eur, p.highest_market_value_in_eur,
-          CAST(coalesce(a.goals, 0) AS INT) AS total_goals, CAST(coalesce(a.assists, 0) AS INT) AS total_assists,
-          CAST(coalesce(a.yellow, 0) AS INT) AS total_yellow, CAST(coalesce(a.red, 0) AS INT) AS total_red,
-          CAST(coalesce(a.minutes, 0) AS INT) AS total_minutes, CAST(coalesce(a.n, 0) AS INT) AS total_appearances,
+          CAST(coalesce(a.goals, 0) AS BIGINT) AS total_goals, CAST(coalesce(a.assists, 0) AS BIGINT) AS total_assists,
+          CAST(coalesce(a.yellow, 0) AS BIGINT) AS total_yellow, CAST(coalesce(a.red, 0) AS BIGINT) AS total_red,
+          CAST(coalesce(a.minutes, 0) AS BIGINT) AS total_minutes, CAST(coalesce(a.n, 0) AS BIGINT) AS total_appearances,
           TRY_CAST(p.contract_expiration_date AS DATE) AS contract_expiration_date, p.agent_name, p.image_url,
           coalesce(d.tackles_per_90, 0) AS tackles_per_90,
           coalesce(d.interceptions_per_90, 0) AS interceptions_per_90,
