@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +39,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from scoutlake.llm.common import MEMO_WORDS, bounded_batches, stored, text_slices, wider
+from scoutlake.llm.common import bounded_batches, stored, text_slices, wider
 from scoutlake.llm.perfect_hash import PerfectHash
 
 SPACE = "▁"
@@ -46,6 +47,8 @@ SHARD, FAN, BLOCK = 1 << 18, 8, 1 << 22
 # Partial counts that a task holds before it merges them, and rows of one group of partial counts.
 HELD, GROUP = 1 << 20, 1 << 22
 ROWS, TOGETHER = 256, 1 << 16
+# Segments that a task remembers before it starts anew; a cache only.
+SEGMENTS = 500_000
 # A pair is the number `a * WIDE + b`; WIDE is more than any id.
 WIDE = 1 << 20
 # Dealing pairs to shards: a remainder that Spark and numpy agree on.
@@ -53,7 +56,8 @@ PRIME = 1_000_003
 _SEGMENT = re.compile(r"[ \n]+[^ \n]*")
 # White space of another kind in front of a cut, where A may take both into one token.
 _ODD = re.compile(r"[^\S \n][ \n]")
-ADDED = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
+FACTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+ADDED = ", ".join(f"{name} long" for name in FACTS) + ", groups string"
 
 
 class Tokenizers(NamedTuple):
@@ -92,19 +96,27 @@ def load(byte_bpe: str, pattern: str, pieces: str) -> Tokenizers:
     return Tokenizers(ranks, pattern, proto)
 
 
-class Aligned(NamedTuple):
-    """What is known of a segment: its counts, its groups as text, and its distinct pair numbers."""
+class Grown:
+    """A numpy array that grows by doubling."""
 
-    facts: tuple[int, ...]
-    groups: str
-    pairs: np.ndarray | None
+    def __init__(self, *width: int):
+        self.held, self.n = np.zeros((1_024, *width), np.int64), 0
+
+    def extend(self, rows: np.ndarray) -> None:
+        need = self.n + len(rows)
+        if need > len(self.held):
+            larger = np.zeros((max(need, 2 * len(self.held)), *self.held.shape[1:]), np.int64)
+            larger[: self.n] = self.held[: self.n]
+            self.held = larger
+        self.held[self.n : need] = rows
+        self.n = need
 
 
 class Aligner:
-    """Segments of texts, each aligned once. `None` stands for a segment whose bytes B does not give back.
+    """Segments of texts, each aligned once and known by a number from then on.
 
-    Without `lookup`, segments keep their pairs. With it, (counts of pairs, whether each is the highest
-    of its A id), they keep their groups as text, and links and counts are summed up.
+    Without `lookup`, segments keep their distinct pair numbers. With it, (counts of pairs, whether each is
+    the highest of its A id), they keep their facts and their groups as text.
     """
 
     def __init__(self, tokenizers: Tokenizers, lookup: Lookup | None = None):
@@ -118,7 +130,15 @@ class Aligner:
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode())
         self.b_sizes = np.array([len(x) for x in self.b_bytes])
-        self.known: dict[str, Aligned | None] = {}
+        self.names = list(map(str, range(max(len(self.a_sizes), len(self.b_sizes)))))
+        self.forget()
+
+    def forget(self) -> None:
+        """Starts anew. Number 0 is any segment whose bytes B does not give back."""
+        self.known: dict[str, int] = {}
+        self.groups, self.facts, self.pairs, self.ends = [""], Grown(len(FACTS)), Grown(), Grown()
+        self.facts.extend(np.zeros((1, len(FACTS)), np.int64))
+        self.ends.extend(np.zeros(1, np.int64))
 
     @staticmethod
     def segments(text: str) -> list[str]:
@@ -133,16 +153,18 @@ class Aligner:
             return joined
         return parts
 
-    def of(self, texts: list[str]) -> list[list[Aligned | None]]:
-        """The segments of each text, in order."""
-        if len(self.known) > MEMO_WORDS:
-            self.known.clear()
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the segments of all texts one after another, how many each text has)."""
+        if len(self.known) > SEGMENTS:
+            self.forget()
         known, split = self.known, [self.segments(t) for t in texts]
-        new = {s: None for parts in split for s in parts if s not in known}
+        flat = list(chain.from_iterable(split))
         inner, held = [], 0
-        for s in new:
+        for s in dict.fromkeys(flat):
+            if s in known:
+                continue
             if SPACE in s:
-                known[s] = None
+                known[s] = 0
             elif s[-1].isspace():
                 # White space at an end would run into the next segment.
                 self._align([s])
@@ -154,7 +176,14 @@ class Aligner:
                     inner, held = [], 0
         if inner:
             self._align(inner)
-        return [[known[s] for s in parts] for parts in split]
+        return np.fromiter(map(known.__getitem__, flat), np.int64, len(flat)), np.array([len(parts) for parts in split])
+
+    def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pairs of the segments one after another, how many each segment has)."""
+        ends = self.ends.held
+        first, n = np.where(numbers > 0, ends[numbers - 1], 0), np.where(numbers > 0, ends[numbers] - ends[numbers - 1], 0)
+        at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+        return self.pairs.held[at], n
 
     def _align(self, segments: list[str]) -> None:
         text = "".join(segments)
@@ -163,7 +192,7 @@ class Aligner:
         b = np.array(self.b.encode("a" + text)[self.anchor :], np.int64)
         if b"".join(map(self.b_bytes.__getitem__, b.tolist())) != text.encode():
             if len(segments) == 1:
-                self.known[text] = None
+                self.known[text] = 0
             else:
                 for s in segments:
                     self._align([s])
@@ -175,18 +204,18 @@ class Aligner:
         n, owner = len(segments), np.searchsorted(ends, cuts)
         n_a, n_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
         keys, times, of_pair = self._pairs(a, b, a_group, b_group, len(cuts))
+        self.known.update(zip(segments, range(self.ends.n, self.ends.n + n)))
         if self.lookup is None:
-            pair_ends = np.searchsorted(owner[of_pair], np.arange(n), "right")
-            for s, low, high in zip(segments, [0, *pair_ends[:-1]], pair_ends):
-                self.known[s] = Aligned((), "", keys[low:high].copy())
+            self.ends.extend(self.pairs.n + np.searchsorted(owner[of_pair], np.arange(n), "right"))
+            self.pairs.extend(keys)
             return
+        self.ends.extend(np.zeros(n, np.int64))
         counts, is_best = self.lookup(keys)
         facts = [(owner, n_a), (owner, n_b), (owner, np.ones(len(cuts))), (owner, n_a * n_b)]
         facts += [(owner[of_pair], times * is_best), (owner[of_pair], times * counts)]
-        summed = zip(*(np.bincount(at, x, minlength=n).astype(np.int64).tolist() for at, x in facts))
+        self.facts.extend(np.stack([np.bincount(at, x, minlength=n).astype(np.int64) for at, x in facts], axis=1))
         lines, group_ends = self._group_texts(a, b, n_a, n_b), np.searchsorted(owner, np.arange(n), "right").tolist()
-        for s, counted, low, high in zip(segments, summed, [0, *group_ends[:-1]], group_ends):
-            self.known[s] = Aligned(counted, ";".join(lines[low:high]), None)
+        self.groups += [";".join(lines[low:high]) for low, high in zip([0, *group_ends[:-1]], group_ends)]
 
     def _pairs(self, a, b, a_group, b_group, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pair numbers, links of each, group of each), in order of the groups; ids that repeat in a group count once."""
@@ -205,11 +234,14 @@ class Aligner:
         right = first_b[ga[left]] + within
         return ia[left] * WIDE + ib[right], ta[left] * tb[right], ga[left]
 
-    @staticmethod
-    def _group_texts(a, b, n_a, n_b) -> list[str]:
-        a, b, out, i, j = list(map(str, a.tolist())), list(map(str, b.tolist())), [], 0, 0
+    def _group_texts(self, a, b, n_a, n_b) -> list[str]:
+        a, b = ([*map(self.names.__getitem__, ids.tolist())] for ids in (a, b))
+        out, i, j = [], 0, 0
         for x, y in zip(n_a.tolist(), n_b.tolist()):
-            out.append(f"{','.join(a[i:i + x])}|{','.join(b[j:j + y])}")
+            if x == y == 1:
+                out.append(f"{a[i]}|{b[j]}")
+            else:
+                out.append(f"{','.join(a[i:i + x])}|{','.join(b[j:j + y])}")
             i, j = i + x, j + y
         return out
 
@@ -237,20 +269,24 @@ def _first_pass(docs: DataFrame, tokenizers: Tokenizers, text: str) -> DataFrame
 
         for batch in batches:
             for _, texts in text_slices(batch, text, ROWS):
-                for parts in aligner.of(texts):
-                    distinct = {id(p): p for p in parts}.values()
-                    if not parts or None in distinct:
-                        continue
-                    # Once a document, however often it holds the pair.
-                    keys.append(np.unique(np.concatenate([p.pairs for p in distinct])))
-                    counts.append(np.ones(len(keys[-1])))
-                    held += len(keys[-1])
-                    if held > HELD:
-                        found, n = merged()
-                        keys, counts, held = [found], [n], len(found)
-                        if held > HELD // 2:
-                            yield rows()
-                            keys, counts, held = [], [], 0
+                numbers, sizes = aligner.of(texts)
+                row = np.repeat(np.arange(len(texts)), sizes)
+                broken = np.zeros(len(texts), bool)
+                broken[row[numbers == 0]] = True
+                numbers, row = numbers[~broken[row]], row[~broken[row]]
+                pairs, n = aligner.pairs_of(numbers)
+                # Once a document, however often it holds the pair.
+                once = np.unique(np.repeat(row, n) * WIDE**2 + pairs) % WIDE**2
+                found, n = np.unique(once, return_counts=True)
+                keys.append(found)
+                counts.append(n)
+                held += len(found)
+                if held > HELD:
+                    found, n = merged()
+                    keys, counts, held = [found], [n], len(found)
+                    if held > HELD // 2:
+                        yield rows()
+                        keys, counts, held = [], [], 0
         if keys:
             found, n = merged()
             keys, counts = [found], [n]
@@ -354,7 +390,7 @@ class Lookup:
 def _second_pass(docs: DataFrame, tokenizers: Tokenizers, text: str, block: tuple, again: bool) -> DataFrame:
     """Aligns and looks up; `again` adds the counts of one more block to those of the blocks before."""
     shared = docs.sparkSession.sparkContext.broadcast((tuple(tokenizers), block))
-    names = [field.split()[0] for field in ADDED.split(", ")]
+    names = [*FACTS, "groups"]
     schema = docs.schema if again else wider(docs, ADDED)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,12 +398,17 @@ def _second_pass(docs: DataFrame, tokenizers: Tokenizers, text: str, block: tupl
         aligner = Aligner(Tokenizers(*given), Lookup(*held))
         for batch in batches:
             for part, texts in text_slices(batch, text, ROWS):
-                sums, groups = np.zeros((len(texts), 6), np.int64), []
-                for row, parts in enumerate(aligner.of(texts)):
-                    whole = parts and None not in parts
-                    if whole:
-                        sums[row] = [sum(x) for x in zip(*(p.facts for p in parts))]
-                    groups.append(";".join([p.groups for p in parts]) if whole else "")
+                numbers, sizes = aligner.of(texts)
+                sums, groups = np.zeros((len(texts), len(FACTS)), np.int64), []
+                some, starts = np.flatnonzero(sizes), np.cumsum(sizes) - sizes
+                if len(some):
+                    sums[some] = np.add.reduceat(aligner.facts.held[numbers], starts[some])
+                    whole = np.add.reduceat(numbers == 0, starts[some]) == 0
+                    sums[some[~whole]] = 0
+                listed = numbers.tolist()
+                for row, (start, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
+                    at = listed[start : start + n] if sums[row, 0] else []
+                    groups.append(";".join(map(aligner.groups.__getitem__, at)))
                 columns = dict(zip(part.schema.names, part.columns))
                 if again:
                     for at, name in ((4, "n_best"), (5, "count_sum")):
@@ -384,7 +425,7 @@ def align_documents(
 ) -> DataFrame:
     """`docs` with n_a, n_b, n_groups, n_links, n_best, count_sum and groups (`a1,a2|b1;a3|b2,b3`)."""
     bounded_batches(docs.sparkSession)
-    added = [field.split()[0] for field in ADDED.split(", ")]
+    added = [*FACTS, "groups"]
     if text in added:
         raise ValueError(f"the text cannot be called one of {added}")
     # One row a shard, and one number for each id of A.
