@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scoutlake import functions as fn
 from scoutlake.registry import Query
-from scoutlake.registry.oracle import oracle, rounded
+from scoutlake.registry.oracle import fingerprint_sql, oracle, rounded
 from scoutlake.registry.shapes import shape, table
 
 
@@ -106,10 +106,25 @@ def player_scores(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The types that both engines read from the files.
+FINGERPRINTED = {
+    "lineitem": {
+        "l_orderkey": "BIGINT", "l_partkey": "BIGINT", "l_suppkey": "BIGINT", "l_linenumber": "INTEGER", "l_quantity": "DOUBLE",
+        "l_extendedprice": "DOUBLE", "l_discount": "DOUBLE", "l_tax": "DOUBLE", "l_returnflag": "VARCHAR",
+        "l_linestatus": "VARCHAR", "l_shipdate": "TIMESTAMP",
+    },
+    "orders": {
+        "o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "VARCHAR", "o_totalprice": "DOUBLE",
+        "o_orderdate": "TIMESTAMP", "o_orderpriority": "VARCHAR",
+    },
+    "documents": {"doc_id": "BIGINT", "text": "VARCHAR", "lang": "VARCHAR", "source": "VARCHAR", "n_chars": "BIGINT"},
+}
+
+
 def table_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """Schema and content fingerprints of the big tables."""
     parts = []
-    for name in ("lineitem", "orders", "documents"):
+    for name in FINGERPRINTED:
         df = table(spark, sf, name)
         parts.append(
             fn.content_hash(df).select(
@@ -203,7 +218,9 @@ QUERIES = {
                   FROM (SELECT *, home_club_goals AS h, away_club_goals AS a FROM games)"""),
     ),
     "player_scores": Query(player_scores, oracle(SCORES)),
-    "table_fingerprints": Query(table_fingerprints),
+    "table_fingerprints": Query(
+        table_fingerprints, " UNION ALL ".join(fingerprint_sql(name, columns) for name, columns in FINGERPRINTED.items())
+    ),
     "fingerprint_invariance": Query(
         fingerprint_invariance, "SELECT count(*) AS rows, true AS same, false AS same_after_change FROM lineitem"
     ),

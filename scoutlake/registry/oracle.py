@@ -175,3 +175,34 @@ def oracle(body: str, **extra: str) -> str:
         return body
     listed = ",\n".join(f"{name} AS ({extra.get(name) or _definition(name)})" for name in ordered)
     return f"WITH {listed}\n{body}"
+
+
+def _double_text(x: str) -> str:
+    """The canonical text of a double: mantissa and exponent."""
+    s = f"(CASE WHEN abs({x}) < pow(2::DOUBLE, -960) THEN {x} * pow(2::DOUBLE, 120) ELSE {x} END)"
+    near = f"CAST(floor(log2(abs({s}))) AS INT)"
+    part = f"(abs({s}) * pow(2::DOUBLE, -{near}))"
+    exponent = f"({near} + CASE WHEN {part} >= 2 THEN 1 WHEN {part} < 1 THEN -1 ELSE 0 END)"
+    return f"""CASE WHEN isnan({x}) THEN 'nan' WHEN {x} = 'inf'::DOUBLE THEN 'inf' WHEN {x} = '-inf'::DOUBLE THEN '-inf'
+      WHEN {x} = 0 THEN '0' ELSE CAST({s} * pow(2::DOUBLE, -{exponent}) * pow(2::DOUBLE, 52) AS BIGINT) || 'e' ||
+        ({exponent} - CASE WHEN abs({x}) < pow(2::DOUBLE, -960) THEN 120 ELSE 0 END) END"""
+
+
+_CELLS = {"DOUBLE": _double_text, "TIMESTAMP": lambda x: f"CAST(epoch_us({x}) AS VARCHAR)"}
+
+
+def fingerprint_sql(table: str, columns: dict[str, str]) -> str:
+    """Schema text and hash, rows and content hash of a table; `columns` has the SQL types by name."""
+    names = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz"}
+    whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in names.items())
+    cells = " || ".join(
+        f"coalesce(length({text}) || ':' || {text} || ';', 'n;')"
+        for text in (f"({_CELLS.get(kind, lambda x: f'CAST({x} AS VARCHAR)')(name)})" for name, kind in columns.items())
+    )
+    return f"""SELECT '{table}' AS table_name, schema_text, sha256(schema_text) AS schema_hash, rows, content_hash
+      FROM (SELECT string_agg(column_name || ':' || CASE column_type {whens} END, '|') AS schema_text
+            FROM (DESCRIBE SELECT * FROM {table})),
+           (SELECT rows, sha256(rows || '|' || high || '|' || low) AS content_hash FROM (
+              SELECT count(*) AS rows, sum(('0x' || substr(h, 1, 16))::UBIGINT::HUGEINT) AS high,
+                sum(('0x' || substr(h, 17, 16))::UBIGINT::HUGEINT) AS low
+              FROM (SELECT md5({cells}) AS h FROM {table})))"""
