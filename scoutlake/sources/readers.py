@@ -91,19 +91,3 @@ def read_jdbc(spark: SparkSession, url: str, query: str, properties: Mapping[str
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...]) -> DataFrame:
-    """`file_path` and `file_bytes` below `root`: file-system metadata, zero-byte files included."""
-    schema = "file_path string, file_bytes long"
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], schema)
-    target = spark._jvm.org.apache.hadoop.fs.Path(root)
-    found, listing = [], target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
-    while listing.hasNext():
-        status = listing.next()
-        path = status.getPath()
-        name = path.getName()
-        if name.endswith(suffixes) and not name.startswith(("_", ".")):
-            found.append((path.toUri().getPath(), status.getLen()))
-    return spark.createDataFrame(found, schema)

@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -80,12 +81,62 @@ def test_csv_keeps_text(spark, tmp_path, rows):
     assert rows(readers.read_csv(spark, f"{kept}/ingestion_ts=s", df.schema)) == rows(df.filter("i <> 5"))
 
 
-def test_promotion_does_not_mix_columns(spark, tmp_path):
+def test_promotion_matches_columns_by_name(spark, tmp_path, rows):
     put(tmp_path / "raw/players/a.csv", "a,b\n1,one\n")
-    put(tmp_path / "raw/players/b.csv", "b,a\ntwo,2\n")
+    put(tmp_path / "raw/players/b.csv", 'b,"a"\ntwo,2\n"th,ree",3\n')
+    put(tmp_path / "raw/players/other.csv", "a,c\n4,four\n")
+    put(tmp_path / "raw/games/g.csv", "a,c\n5,five\n")
     report = quality.check_csv_files(spark, f"{tmp_path}/raw")
-    with pytest.raises(Exception, match="header"):
-        quality.promote(spark, report, f"{tmp_path}/raw", f"{tmp_path}/validated", "csv")
+    assert {Path(r.file_path).name: (r.valid, r.reason, r.rows) for r in report.collect()} == {
+        "a.csv": (True, None, 1), "b.csv": (True, None, 2), "other.csv": (False, "header", 1), "g.csv": (True, None, 1)
+    }
+    assert quality.promote(spark, report, f"{tmp_path}/raw", f"{tmp_path}/validated", "csv") == 3
+    promoted = readers.read_csv(spark, f"{tmp_path}/validated/players")
+    assert rows(promoted, "a", "b") == [("1", "one"), ("2", "two"), ("3", "th,ree")]
+    assert rows(readers.read_csv(spark, f"{tmp_path}/validated/games")) == [("5", "five")]
+
+
+def test_a_bad_file_or_source_does_not_stop_the_next(spark, tmp_path, monkeypatch):
+    put(tmp_path / "raw/one/players/a.csv", "a,b\n1,one\n")
+    put(tmp_path / "raw/one/players/b.csv", "z,b\ntwo,2\n")
+    put(tmp_path / "raw/two/players/a.csv", "a,b\n1,one\n")
+    raw, validated = f"{tmp_path}/raw", f"{tmp_path}/validated"
+    found = quality.validate_layer(spark, raw, validated, {"one": "csv", "two": "csv"}).collect()
+    assert [(r.source, r.status, r.valid, r.failed) for r in found] == [("one", "checked", 1, 1), ("two", "checked", 1, 0)]
+    promote = quality.promote
+    monkeypatch.setattr(quality, "promote", lambda s, r, root, *more: 1 / 0 if "one" in root else promote(s, r, root, *more))
+    found = quality.validate_layer(spark, raw, f"{tmp_path}/again", {"one": "csv", "two": "csv"}).collect()
+    assert [(r.source, r.status, r.reason) for r in found] == [("one", "error", "division by zero"), ("two", "checked", None)]
+
+
+def test_unchanged_files_are_not_read_again(spark, tmp_path, rows):
+    put(tmp_path / "raw/dump/players/a.csv", "a,b\n1,one\n")
+    put(tmp_path / "raw/dump/games/g.csv", "g\n1\n2\n")
+    raw, validated = f"{tmp_path}/raw", f"{tmp_path}/validated"
+    assert quality.validate_layer(spark, raw, validated, {"dump": "csv"}).first().valid == 2
+    manifest = spark.read.schema(quality.MANIFEST).parquet(f"{validated}/_manifest/dump")
+    assert rows(manifest, F.regexp_extract("file_path", "[^/]+$", 0), "rows") == [("a.csv", 1), ("g.csv", 2)]
+    # Same size and time: only a reader could tell that the header is another one.
+    games = tmp_path / "raw/dump/games/g.csv"
+    stamp = games.stat()
+    games.write_text("x\n7\n8\n")
+    os.utime(games, ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    put(tmp_path / "raw/dump/players/b.csv", "b,a\ntwo,2\n")
+    put(tmp_path / "raw/dump/players/c.csv", "q\n1\n")
+    old = stamp.st_mtime_ns - 10**12
+    os.utime(tmp_path / "raw/dump/players/c.csv", ns=(old, old))
+    report = quality.check_csv_files(spark, f"{raw}/dump", manifest)
+    assert {Path(r.file_path).name: (r.header, r.valid) for r in report.collect()} == {
+        "a.csv": ("a,b", True), "b.csv": ("b,a", True), "c.csv": ("q", False), "g.csv": ("g", True)
+    }
+    found = quality.validate_layer(spark, raw, validated, {"dump": "csv"}).first()
+    assert (found.valid, found.failed) == (3, 1)
+    assert rows(readers.read_csv(spark, f"{validated}/dump/players"), "a", "b") == [("1", "one"), ("2", "two")]
+    # The folder without a changed file was not written again.
+    assert rows(readers.read_csv(spark, f"{validated}/dump/games")) == [("1",), ("2",)]
+    (tmp_path / "raw/dump/players/a.csv").unlink()
+    quality.validate_layer(spark, raw, validated, {"dump": "csv"})
+    assert rows(readers.read_csv(spark, f"{validated}/dump/players"), "a") == [("2",)]
 
 
 def test_raw_naming(spark, tmp_path):
