@@ -50,12 +50,16 @@ def whole_text_alignment(texts):
             bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in zip(ids_b, pieces)]
             if b"".join(bytes_a) == whole == b"".join(bytes_b):
                 ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]), np.cumsum([len(x) for x in bytes_b])
-                low = 0
-                for cut in sorted(set(ends_a) & set(ends_b)):
-                    groups.append((
-                        [i for i, e in zip(ids_a, ends_a) if low < e <= cut], [i for i, e in zip(ids_b, ends_b) if low < e <= cut]
-                    ))
-                    low = cut
+                common, i, j = sorted(set(ends_a) & set(ends_b)), 0, 0
+                for cut in common:
+                    g, h = [], []
+                    while i < len(ids_a) and ends_a[i] <= cut:
+                        g.append(ids_a[i])
+                        i += 1
+                    while j < len(ids_b) and ends_b[j] <= cut:
+                        h.append(ids_b[j])
+                        j += 1
+                    groups.append((g, h))
         parts.append(groups)
         documents.update({(x, y) for g, h in groups for x in g for y in h})
     best = collections.defaultdict(int)
