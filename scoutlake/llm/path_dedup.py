@@ -4,8 +4,8 @@
    class, represented by its smallest id; only representatives are compared.
 2. A class carries minwise tokens: for each of `TREES * DEPTH` hash functions the
    least hash of its set. Two sets agree in a token with their Jaccard similarity.
-3. Each tree branches the classes by a token that the path chooses, so similar
-   sets go down together. A node of at most `LEAF` classes is compared
+3. Each tree has `DEPTH` tokens of its own and branches the classes by one that the
+   path chooses among those it has not used, so similar sets go down together. A node of at most `LEAF` classes is compared
    exhaustively; a larger one branches again, up to `DEPTH` tokens. A pair at
    the threshold t ends up together in a tree with probability of at least
    t ** DEPTH, so the trees together miss it with (1 - t ** DEPTH) ** TREES:
@@ -14,7 +14,9 @@
    member: as many pairs as members, whatever the size of a group. Confirmed
    links are merged. A node that is one component by then is done, as further
    links cannot change it. In the others every pair across components is held
-   against the estimate. In nodes that stayed large an exact bound comes first:
+   against a bound that cannot lose a link: each set has `BITS` bits, the parities of
+   its hashes by place, and two sets differ in at least as many hashes as bits. It is
+   sharp up to some thousand hashes; behind it comes the estimate from the tokens. In nodes that stayed large an exact bound comes first:
    hashes that no other set of a large node has cannot be in an intersection, so
    edited copies whose edits are their own fall out before any pairing; another
    one is what both have in common with the node's first member. What is left is
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ from scoutlake.llm.components import components
 
 TREES, DEPTH, LEAF = 12, 3, 48
 SEED = 20_231
+# Parity bits of a set, in words of 64.
+BITS, WORD = 1_024, 64
 # Least share of equal tokens for a pair to be confirmed; at 0.85 about five deviations below the mean.
 ESTIMATE = 0.55
 
@@ -72,8 +77,20 @@ def minwise_tokens(sets: list[np.ndarray], factors: np.ndarray) -> np.ndarray:
     return tokens
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Words of bits: whether an odd number of hashes falls on each place."""
+    odd = np.bincount((hashes >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def differing(x: str, y: str) -> Column:
+    """Bits in which two sets differ, never more than the hashes that only one of them has."""
+    words = (F.bit_count(F.col(f"{x}_{i}").bitwiseXOR(F.col(f"{y}_{i}"))) for i in range(BITS // WORD))
+    return reduce(Column.__add__, words)
+
+
 def sketches(docs: DataFrame, size: int, id_col: str, text: str, trees: int, depth: int) -> DataFrame:
-    """(id, n, digest, tokens): set size, digest of the set and minwise tokens; null digest of an empty set."""
+    """(id, n, digest, tokens, bits): set size, digest, minwise tokens and parities; nulls for an empty set."""
     bounded_batches(docs.sparkSession)
     factors = token_factors(trees * depth)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
@@ -92,23 +109,25 @@ def sketches(docs: DataFrame, size: int, id_col: str, text: str, trees: int, dep
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(digests, pa.string()),
                         pa.array([next(tokens) if len(s) else None for s in sets], pa.list_(pa.int32())),
+                        pa.array([parities(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["id", "n", "digest", "tokens"],
+                    ["id", "n", "digest", "tokens", "bits"],
                 )
 
-    return rows.mapInArrow(sketch, "id long, n long, digest string, tokens array<int>")
+    return rows.mapInArrow(sketch, "id long, n long, digest string, tokens array<int>, bits array<long>")
 
 
 def tree_nodes(classes: DataFrame, trees: int, depth: int, leaf: int) -> DataFrame:
     """(node, id, large) of the final nodes of all trees with at least two members.
 
-    Tree t starts with its own token; each further branching takes a token that
+    Tree t starts with the first of its own tokens; each further branching takes one that
     the path chooses among those not yet on it. Tokens are looked up only for
     members of nodes that branch again, so the wide first level stays narrow.
     """
-    slots = F.array(*(F.lit(i) for i in range(1, trees * depth + 1)))
-    roots = classes.select("id", F.posexplode(F.slice("tokens", 1, trees)).alias("tree", "token"))
-    members = roots.select("id", F.xxhash64("tree", "token").alias("path"), F.array(F.col("tree") + 1).alias("used"))
+    first = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.element_at("tokens", t * depth + 1))
+    roots = classes.select("id", F.posexplode(first).alias("tree", "token"))
+    members = roots.select("id", "tree", F.xxhash64("tree", "token").alias("path"), F.array(F.col("tree") * depth + 1).alias("used"))
+    own = F.transform(F.sequence(F.lit(1), F.lit(depth)), lambda k: F.col("tree") * depth + k)
     final = None
     for level in range(1, depth + 1):
         sizes = members.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
@@ -118,11 +137,11 @@ def tree_nodes(classes: DataFrame, trees: int, depth: int, leaf: int) -> DataFra
         final = done if final is None else final.unionAll(done)
         if level < depth:
             large = stored(sized.filter(F.col("size") > leaf), "branches").join(classes.select("id", "tokens"), "id")
-            free = F.array_except(slots, "used")
+            free = F.array_except(own, "used")
             slot = F.element_at(free, (F.pmod("path", F.size(free)) + 1).cast("int"))
-            chosen = large.select("id", "path", "used", "tokens", slot.alias("slot"))
+            chosen = large.select("id", "tree", "path", "used", "tokens", slot.alias("slot"))
             members = chosen.select(
-                "id",
+                "id", "tree",
                 F.xxhash64("path", "slot", F.element_at("tokens", F.col("slot"))).alias("path"),
                 F.array_append("used", F.col("slot")).alias("used"),
             )
@@ -189,15 +208,29 @@ def links_between(
     # Tokens are long, so nodes go without them and pairs look them up.
     nodes = stored(tree_nodes(classes, trees, depth, leaf), "nodes")
 
-    def close(x: str, y: str) -> Column:
-        fits = 100 * F.least(f"n{x}", f"n{y}") >= percent * F.greatest(f"n{x}", f"n{y}")
-        same = F.size(F.filter(F.zip_with(f"tokens{x}", f"tokens{y}", lambda p, q: p == q), lambda equal: equal))
-        return fits & (same >= int(estimate * trees * depth))
+    def fits(x: str, y: str) -> Column:
+        """Bounds on the sizes and on the hashes of one set alone, which no link breaks."""
+        sizes = 100 * F.least(f"n{x}", f"n{y}") >= percent * F.greatest(f"n{x}", f"n{y}")
+        alone = (100 + percent) * differing(f"w{x}", f"w{y}") <= (100 - percent) * (F.col(f"n{x}") + F.col(f"n{y}"))
+        return sizes & alone
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs whose tokens agree as often as those of a link do."""
+        sides = [classes.select(F.col("id").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab"]
+        same = F.size(F.filter(F.zip_with("tokens_a", "tokens_b", lambda p, q: p == q), lambda equal: equal))
+        both = pairs.join(sides[0], "a").join(sides[1], "b")
+        return both.filter(same >= int(estimate * trees * depth)).select("a", "b")
+
+    words = [F.col("bits")[i].alias(f"w_{i}") for i in range(BITS // WORD)]
+    flat = classes.select("id", "n", *words)
+
+    def side(x: str, name: str) -> DataFrame:
+        return flat.select(F.col("id").alias(name), F.col("n").alias(f"n{x}"), *(F.col(f"w_{i}").alias(f"w{x}_{i}") for i in range(BITS // WORD)))
 
     first = nodes.groupBy("node").agg(F.min("id").alias("a"))
     spokes = nodes.join(first, "node").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    ends = [classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"tokens{x}")) for x in "ab"]
-    stars = spokes.join(ends[0], "a").join(ends[1], "b").filter(close("a", "b")).select("a", "b")
+    near = spokes.join(side("1", "a"), "a").join(side("2", "b"), "b").filter(fits("1", "2")).select("a", "b")
+    stars = alike(stored(near, "near"))
     spoken = stored(overlaps(stored(stars, "stars"), docs, size, percent, id_col, text), "spokes")
     linked = spoken.filter("linked").select("a", "b")
 
@@ -216,14 +249,16 @@ def links_between(
     placed = placed.join(first, "node").join(hub, ["a", "id"], "left")
     # A pair that shares several nodes is taken in the first one.
     homes = placed.groupBy("id").agg(F.sort_array(F.collect_set("node")).alias("homes"))
-    placed = stored(placed.join(homes.join(classes.select("id", "tokens"), "id"), "id"), "open")
+    placed = stored(placed.join(homes.join(flat.drop("n"), "id"), "id"), "open")
     weights = placed.groupBy("node", "root").agg(F.count("*").alias("size"))
     core = weights.groupBy("node").agg(F.max_by("root", F.struct("size", "root")).alias("core"))
-    carried = ("id", "n", "tokens", "root", "shared", "common", "homes")
-    others = placed.join(core, "node").filter("root <> core").select(
-        "node", "core", *(F.col(c).alias(f"{c}1") for c in carried)
-    )
-    everyone = placed.select("node", *(F.col(c).alias(f"{c}2") for c in carried))
+    carried = ("id", "n", "root", "shared", "common", "homes")
+
+    def carry(x: str) -> list[Column]:
+        return [F.col(c).alias(f"{c}{x}") for c in carried] + [F.col(f"w_{i}").alias(f"w{x}_{i}") for i in range(BITS // WORD)]
+
+    others = placed.join(core, "node").filter("root <> core").select("node", "core", *carry("1"))
+    everyone = placed.select("node", *carry("2"))
     # A pair of two outsiders meets twice; the smaller id keeps it.
     once = (F.col("root2") == F.col("core")) | (F.col("id1") < F.col("id2"))
     most = F.least("shared1", "shared2")
@@ -234,9 +269,9 @@ def links_between(
     through = F.when(F.col("common1").isNotNull() & F.col("common2").isNotNull(), through).otherwise(most)
     may &= 100 * through >= percent * (F.col("n1") + F.col("n2") - through)
     here = F.element_at(F.array_intersect("homes1", "homes2"), 1) == F.col("node")
-    met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & here & close("1", "2"))
+    met = others.join(everyone, "node").filter((F.col("root1") != F.col("root2")) & once & may & here & fits("1", "2"))
     rest = met.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
-    found = overlaps(stored(rest, "rest"), docs, size, percent, id_col, text).filter("linked")
+    found = overlaps(stored(alike(stored(rest, "met")), "rest"), docs, size, percent, id_col, text).filter("linked")
     return linked.unionAll(found.select("a", "b"))
 
 
@@ -260,10 +295,10 @@ def near_duplicates(
     """(id, n_shingles, component_id, kept), one row per input row; ids must not be null to be linked."""
     found = stored(sketches(docs, size, id_col, text, trees, depth), "sketches")
     filled = found.filter(F.col("digest").isNotNull() & F.col("id").isNotNull())
-    grouped = filled.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("n", "id").alias("n"), F.min_by("tokens", "id").alias("tokens"))
+    grouped = filled.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("n", "id").alias("n"), F.min_by("tokens", "id").alias("tokens"), F.min_by("bits", "id").alias("bits"))
     classes = stored(grouped, "classes")
     links = links_between(
-        docs, classes.select(F.col("rep").alias("id"), "n", "tokens"), size, percent, id_col, text, trees, depth, leaf, estimate
+        docs, classes.select(F.col("rep").alias("id"), "n", "tokens", "bits"), size, percent, id_col, text, trees, depth, leaf, estimate
     )
     # Members hang on their representative, so copies are never expanded into pairs.
     members = filled.join(classes.select("digest", "rep"), "digest").select("id", "rep")
