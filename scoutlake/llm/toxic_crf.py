@@ -5,13 +5,14 @@ words that stand almost only in toxic documents, in more contexts than chance
 explains, are chosen; words that merely share a copied text with an insult have
 one context and are not. Chosen words of toxic documents are the labelled tokens.
 The field has two states and features of the word, its beginnings, the word before
-and the one behind it; it is fitted in numpy on windows of a bounded sample
-(`SAMPLE_TOXIC` and `SAMPLE_CLEAN` documents, `WINDOWS` windows of `WIDTH` words
-each). Scoring reads every text to its end: forward-backward marginals of all
+and the one behind it; it is fitted in numpy on windows of `WIDTH` words of a bounded
+sample (`SAMPLE_TOXIC` and `SAMPLE_CLEAN` documents), which hold every chosen word of
+its documents and one more place in each. If no unit has the evidence asked for,
+those with the most are taken. Scoring reads every text to its end: forward-backward marginals of all
 words, their largest one and their sum go into a logistic score.
 
 Null and empty texts have no word and get the score of the absence of marginals.
-Without a toxic document to learn from, every score is 0. Other columns are kept;
+Without a toxic document with a word to learn from, every score is 0. Other columns are kept;
 repeated rows are scored alike.
 """
 
@@ -30,9 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from scoutlake.llm.common import MEMO_WORDS, bounded_batches, bounded_sample, labelled, stored, text_slices, wider
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4_000, 8_000
-CANDIDATES, PRECISION, CERTAINTY = 1_000, 0.9, 2.0
+PRECISION, CERTAINTY = 0.9, 2.0
 BEGINNINGS = (4, 5)
-WINDOWS, WIDTH = 4, 32
+WIDTH = 32
 # Neighbours have few buckets, so that the field cannot learn single contexts by heart.
 BUCKETS, NEAR = 1 << 16, 64
 STEPS, RATE, PENALTY = 60, 0.5, 1e-3
@@ -300,8 +301,12 @@ def chosen_units(sample: DataFrame) -> list[str]:
     rate, other = F.col("t") / float(totals[0]), F.col("c") / float(max(totals[1], 1))
     share = totals[0] / (totals[0] + max(totals[1], 1))
     needed = CERTAINTY * float(np.log(counted.count() + 1) / np.log(1 / share))
-    sure = counted.filter((rate >= PRECISION * (rate + other)) & (F.col("contexts") >= needed))
-    return sorted(r.unit for r in sure.orderBy(F.desc("contexts"), "unit").limit(CANDIDATES).collect())
+    # Either the demands, or what comes closest to them. The units of a sample are bounded like its texts.
+    held = counted.filter("contexts > 0").withColumn("p", F.least(rate / (rate + other), F.lit(PRECISION)))
+    best = held.agg(F.max(F.struct("p", F.least("contexts", F.lit(needed)).alias("e"))).alias("m")).first().m
+    if best is None:
+        return []
+    return sorted(r.unit for r in held.filter((F.col("p") >= best.p) & (F.col("contexts") >= best.e)).select("unit").collect())
 
 
 def _windows(sample: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +325,12 @@ def _windows(sample: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, np.ndar
                     ids = np.fromiter(map(buckets.__getitem__, words), np.int64, len(words))
                     hit = np.fromiter(map(marks.__getitem__, words), bool, len(words))
                     starts = [xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) % len(ids)]
-                    starts += [max(0, i - WIDTH // 2) for i in np.flatnonzero(hit)[: WINDOWS - 1].tolist()]
+                    # Every chosen word is in a window, in the middle of one if it stands alone.
+                    end = 0
+                    for i in np.flatnonzero(hit).tolist():
+                        if i >= end:
+                            starts.append(max(0, i - WIDTH // 2))
+                            end = starts[-1] + WIDTH
                     for at in starts:
                         window = np.full(WIDTH + 2, -1, np.int64)
                         window[0] = ids[at - 1] if at else 0

@@ -289,3 +289,13 @@ def test_section_tokens_add_up(docs, ranks):
         expected.update((row.doc_id, n, c) for n, c in enumerate(counts))
     found = token_counts.section_tokens(docs, ranks, public_tokenizers.PATTERN).collect()
     assert expected == collections.Counter((r.doc_id, r.section, r.n_tokens) for r in found)
+
+
+def test_toxic_words_without_enough_evidence_are_still_learned(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*rng.choice(words, 20), *(["Scoundrel"] if i < 2 else []), *rng.choice(words, 20)])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 2)) for i in range(400)], "doc_id long, toxic int")
+    scores = {r.doc_id: r.score for r in toxic_crf.score_documents(docs, toxic_crf.fit(docs, marks, held_out=-1)).collect()}
+    assert min(scores[0], scores[1]) > max(s for i, s in scores.items() if i > 1)
