@@ -4,6 +4,8 @@ Every stage takes what its predecessor kept, whole. The filters learn from the
 documents that are left and the labels outside their held-out folds. Rows that
 repeat in the input stay repeated until the near-duplicate stage keeps one document
 of each group; the mix repeats documents on purpose, so ids recur in the result.
+Rows without an id stay, null texts count as empty ones, an empty table gives an empty result, and columns that
+no stage reads are handed through up to the last one, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,21 +16,35 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from scoutlake.llm import byte_bpe, mixing, path_dedup, quality_net, toxic_crf
 from scoutlake.llm.common import stored
 
+READ = ("doc_id", "text", "source")
+
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The three columns that the operators read, and the others in one, so that no name can clash with an added one."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in READ]
+    return docs.select(*READ, F.struct(*others, F.lit(True).alias("_packed")).alias("_others"))
+
+
+def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*(F.col(c) if c in READ else F.col(f"_others.`{c}`") for c in columns))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.3."""
-    model = toxic_crf.fit(docs, _labels(spark, sf_dir))
-    return toxic_crf.score_documents(docs, model).filter("predicted = 0").select(*docs.columns)
+    rows = _packed(docs)
+    model = toxic_crf.fit(rows, _labels(spark, sf_dir))
+    return _unpacked(toxic_crf.score_documents(rows, model).filter("predicted = 0"), docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.5."""
-    network = quality_net.fit(docs, _labels(spark, sf_dir))
-    return quality_net.score_documents(docs, network).filter("predicted = 1").select(*docs.columns)
+    rows = _packed(docs)
+    network = quality_net.fit(rows, _labels(spark, sf_dir))
+    return _unpacked(quality_net.score_documents(rows, network).filter("predicted = 1"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +57,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix: repeated documents, and the part of one document at the border of a source."""
-    return mixing.repeated(mixing.mix(docs), docs.columns)
+    rows = _packed(docs)
+    return _unpacked(mixing.repeated(mixing.mix(rows), rows.columns), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
