@@ -11,11 +11,6 @@ from scoutlake.registry.oracle import oracle
 
 
 def player_features(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = ("player_id", "position", "age", "height_in_cm", *player_value.FEATURES[6:11], player_value.LEAKING_FEATURE)
-    return player_value.player_features(gold.players(spark, sf), impute_height=True).select(*wanted)
-
-
-def player_features_whole(spark: SparkSession, sf: str) -> DataFrame:
     """All inputs of the model but the ordinal of the position, which `encoded_positions` shows, and the target."""
     inputs = [c for c in player_value.FEATURES if c != "position_enc"]
     features = player_value.player_features(gold.players(spark, sf), impute_height=True)
@@ -94,25 +89,7 @@ def held_out_games(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select(share.between(0.15, 0.25).alias("a_fifth"), (F.col("stable") == F.col("held_out")).alias("same"))
 
 
-QUERIES = {
-    "player_features": Query(
-        player_features,
-        oracle("""SELECT player_id, coalesce(position, 'Unknown') AS position, age,
-                    coalesce(height_in_cm, median(height_in_cm) OVER ()) AS height_in_cm,
-                    CAST(total_goals AS DOUBLE) / total_minutes * 90 AS goals_per_90,
-                    CAST(total_assists AS DOUBLE) / total_minutes * 90 AS assists_per_90,
-                    CAST(total_goals AS DOUBLE) / total_minutes * 90
-                      + CAST(total_assists AS DOUBLE) / total_minutes * 90 AS ga_per_90,
-                    CAST(total_minutes AS DOUBLE)
-                      / CASE WHEN total_appearances = 0 THEN 1 ELSE total_appearances END AS minutes_per_appearance,
-                    CAST(total_yellow + total_red AS DOUBLE) / total_minutes * 90 AS cards_per_90,
-                    market_value_in_eur / CASE WHEN highest_market_value_in_eur = 0 THEN 1
-                                               ELSE highest_market_value_in_eur END AS value_ratio
-                  FROM g_players WHERE market_value_in_eur > 0 AND age IS NOT NULL AND total_minutes > 0"""),
-    ),
-    "player_features_whole": Query(
-        player_features_whole,
-        oracle("""SELECT player_id, coalesce(position, 'Unknown') AS position, age, total_goals, total_assists,
+PLAYER_FEATURES = oracle("""SELECT player_id, coalesce(position, 'Unknown') AS position, age, total_goals, total_assists,
                     total_minutes, total_appearances,
                     CAST(total_goals AS DOUBLE) / total_minutes * 90 AS goals_per_90,
                     CAST(total_assists AS DOUBLE) / total_minutes * 90 AS assists_per_90,
@@ -125,8 +102,11 @@ QUERIES = {
                     market_value_in_eur / CASE WHEN highest_market_value_in_eur = 0 THEN 1
                                                ELSE highest_market_value_in_eur END AS value_ratio,
                     highest_market_value_in_eur
-                  FROM g_players WHERE market_value_in_eur > 0 AND age IS NOT NULL AND total_minutes > 0"""),
-    ),
+                  FROM g_players WHERE market_value_in_eur > 0 AND age IS NOT NULL AND total_minutes > 0""")
+
+QUERIES = {
+    "player_features": Query(player_features, PLAYER_FEATURES),
+    "player_features_whole": Query(player_features, PLAYER_FEATURES),
     "encoded_positions": Query(
         encoded_positions,
         oracle("""SELECT player_id, coalesce(position, 'Unknown') AS position,

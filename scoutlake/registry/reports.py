@@ -121,15 +121,18 @@ def star_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def published_gems(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.published(reports.undervalued_gems(gold.players(spark, sf)), "undervalued_gems").select(
-        "Jogador", "Idade", "Posicao", "Clube", "Pais", "Participacoes_Gol", "Minutos"
-    )
-
-
-def published_gems_whole(spark: SparkSession, sf: str) -> DataFrame:
     return reports.published(reports.undervalued_gems(gold.players(spark, sf)), "undervalued_gems")
 
 
+PUBLISHED_GEMS = oracle(
+    f"""SELECT name AS "Jogador", CAST(age AS VARCHAR) AS "Idade", coalesce(position, '') AS "Posicao",
+            coalesce(club, '') AS "Clube", coalesce(country, '') AS "Pais",
+            CAST(goal_contributions AS VARCHAR) AS "Participacoes_Gol", CAST(minutes AS VARCHAR) AS "Minutos",
+            CAST(value_m AS VARCHAR) AS "Valor_Mi_EUR",
+            coalesce(CAST(contributions_per_90 AS VARCHAR), '') AS "Gol_Assist_Per_90min",
+            coalesce(CAST(cost_per_contribution AS VARCHAR), '') AS "Custo_Por_GA" FROM ({GEMS})"""
+)
+
 QUERIES = {
     "undervalued_gems": Query(lambda s, d: reports.undervalued_gems(gold.players(s, d)), oracle(GEMS)),
     "biggest_appreciation": Query(
@@ -184,23 +187,6 @@ QUERIES = {
         lambda s, d: reports.row_counts(star_tables(s, d), include_matches=False),
         oracle(counts([t for t in STAR if t != "fact_matches"])),
     ),
-    "published_gems": Query(
-        published_gems,
-        oracle(
-            f"""SELECT name AS "Jogador", CAST(age AS VARCHAR) AS "Idade", coalesce(position, '') AS "Posicao",
-                club AS "Clube", country AS "Pais", CAST(goal_contributions AS VARCHAR) AS "Participacoes_Gol",
-                CAST(minutes AS VARCHAR) AS "Minutos" FROM ({GEMS})"""
-        ),
-    ),
-    "published_gems_whole": Query(
-        published_gems_whole,
-        oracle(
-            f"""SELECT name AS "Jogador", CAST(age AS VARCHAR) AS "Idade", coalesce(position, '') AS "Posicao",
-                coalesce(club, '') AS "Clube", coalesce(country, '') AS "Pais",
-                CAST(goal_contributions AS VARCHAR) AS "Participacoes_Gol", CAST(minutes AS VARCHAR) AS "Minutos",
-                CAST(value_m AS VARCHAR) AS "Valor_Mi_EUR",
-                coalesce(CAST(contributions_per_90 AS VARCHAR), '') AS "Gol_Assist_Per_90min",
-                coalesce(CAST(cost_per_contribution AS VARCHAR), '') AS "Custo_Por_GA" FROM ({GEMS})"""
-        ),
-    ),
+    "published_gems": Query(published_gems, PUBLISHED_GEMS),
+    "published_gems_whole": Query(published_gems, PUBLISHED_GEMS),
 }
