@@ -316,7 +316,7 @@ def _windows(sample: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, np.ndar
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, marks = Buckets(), Marks(chosen)
         for batch in batches:
-            for part, texts in text_slices(batch):
+            for part, texts in text_slices(batch, rows=8):
                 rows, flags = [], []
                 for text, label in zip(texts, part.column("label").to_pylist()):
                     words = WORD.findall(text)
@@ -340,17 +340,20 @@ def _windows(sample: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, np.ndar
                             window[-1] = 0
                         mark = np.zeros(WIDTH, bool)
                         mark[: len(taken[:WIDTH])] = hit[at : at + WIDTH] & bool(label)
-                        rows.append(window.tolist())
-                        flags.append(mark.tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.list_(pa.int64())), pa.array(flags, pa.list_(pa.bool_()))], ["ids", "marks"]
-                )
+                        rows.append(window)
+                        flags.append(mark)
+                if rows:
+                    lists = [
+                        pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(x[0]), pa.array(np.concatenate(x)))
+                        for x in (rows, flags)
+                    ]
+                    yield pa.RecordBatch.from_arrays(lists, ["ids", "marks"])
 
     found = sample.mapInArrow(cut, "ids array<long>, marks array<boolean>").toArrow()
     if not found.num_rows:
         return np.zeros((0, WIDTH + 2), np.int64), np.zeros((0, WIDTH), bool)
-    ids = np.array(found.column("ids").to_pylist(), np.int64)
-    flags = np.array(found.column("marks").to_pylist(), bool)
+    ids = found.column("ids").combine_chunks().flatten().to_numpy().reshape(-1, WIDTH + 2)
+    flags = found.column("marks").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH)
     order = np.lexsort(ids.T)
     return ids[order], flags[order]
 
