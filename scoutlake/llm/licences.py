@@ -3,15 +3,17 @@
 1. A text's words that occur in any template are its postings, with positions.
 2. Inverse document frequencies of the template words are counted over all texts.
 3. A template's anchor is the word of highest IDF in its mandatory key phrase, whatever
-   that is: no word is too frequent to serve. Every place of an anchor votes for the
-   position at which the template would start, whatever else stands in the text.
-4. A template is found at a voted start if its key phrase stands where the
-   template has it. A key phrase elsewhere in the text is found as well, by the
-   phrase alone. The score is the largest IDF share of a template's words that stand
-   in place, from 0 (no licence) to 1 (a whole template).
-
-Base phrases give labels of their own and are counted at all their places. Null texts
-are empty. Repeated rows are scanned each for itself; other columns are dropped.
+   that is: no word is too frequent to serve. Templates are indexed by their anchors.
+   Every posting of an anchor is a candidate: the place at which the template would start.
+4. Around a candidate the postings are intersected with those of the template by relative
+   position. The template is found if its whole key phrase stands in place; as the anchor is
+   a word of that phrase, no place of a key phrase goes without a candidate. The score is the
+   largest IDF share of a template's words that stand in place, from 0 (no licence) to 1 (a
+   whole template). Postings further off than a template is long are not looked at, so the
+   work grows with the candidates, and nothing leaves the row.
+
+Base phrases give labels of their own and are counted at all their places by a plain search.
+Null texts are empty. Repeated rows are scanned each for itself; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -101,6 +103,65 @@ def word_weights(found: DataFrame) -> DataFrame:
     return counted.select("word", F.log((total.scalar() + 1.0) / F.col("df") + 1.0).alias("idf"))
 
 
+def _pick(templates: Sequence[tuple[str, str, str]], idf: Mapping[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """Anchor word -> (template, place of the anchor): the index of the templates."""
+    index: dict[str, list[tuple[int, int]]] = {}
+    for number, (_, phrase, body) in enumerate(templates):
+        keyed = [(place, word) for place, word, _, key in _entries(phrase, body) if key]
+        place, word = max(keyed, key=lambda e: (idf.get(e[1], 0.0), -e[0]))
+        index.setdefault(word, []).append((number, place))
+    return index
+
+
+def _candidate(around: Column, at: Column, number: int, anchor: int, template: tuple[str, str, str], idf: Mapping[str, float]) -> Column:
+    """(template, start, label, share, found) of a template whose anchor is the posting at `at`."""
+    label, phrase, body = template
+    entries = _entries(phrase, body)
+    # Whole billionths, so sums are exact in any order.
+    weights = [round(idf.get(word, 0.0) * 1e9) if noted else 0 for _, word, noted, _ in entries]
+    listed = F.array(*(
+        F.struct(F.lit(place).alias("place"), F.lit(word).alias("word"), F.lit(weight).cast("long").alias("weight"), F.lit(key).alias("key"))
+        for (place, word, _, key), weight in zip(entries, weights)
+    ))
+    start, whole = at - anchor, sum(weights)
+    standing = F.filter(listed, lambda e: F.exists(around, lambda p: (p["at"] == start + e["place"]) & (p["word"] == e["word"])))
+
+    def judged(stands: Column) -> Column:
+        weight = F.aggregate(stands, F.lit(0).cast("long"), lambda total, e: total + e["weight"])
+        return F.struct(
+            F.lit(number).alias("template"),
+            (start + _offset(phrase, body)).alias("start"),
+            F.lit(label).alias("label"),
+            (weight / whole if whole else F.lit(0.0)).alias("share"),
+            (F.size(F.filter(stands, lambda e: e["key"])) == sum(key for *_, key in entries)).alias("found"),
+        )
+
+    return _let(standing, judged)
+
+
+def template_matches(hits: Column, templates: Sequence[tuple[str, str, str]], idf: Mapping[str, float]) -> Column:
+    """(label, start, share) of every place at which a template's key phrase stands, by template, then start."""
+    index = _pick(templates, idf)
+    reach = max(place for _, phrase, body in templates for place, *_ in _entries(phrase, body)) + 1
+
+    def of_posting(posting: Column, i: Column) -> Column:
+        first = F.greatest(i + 1 - reach, F.lit(1))
+
+        def compared(around: Column) -> Column:
+            found = None
+            for word, owners in index.items():
+                listed = F.array(*(_candidate(around, posting["at"], t, place, templates[t], idf) for t, place in owners))
+                hit = posting["word"] == word
+                found = F.when(hit, listed) if found is None else found.when(hit, listed)
+            return F.filter(found, lambda c: c["found"])
+
+        return F.when(posting["word"].isin(list(index)), _let(F.slice(hits, first, i + 1 + reach - first + 1), compared))
+
+    judged = F.transform(hits, of_posting)
+    found = F.array_sort(F.flatten(F.filter(judged, lambda m: F.size(m) > 0)))
+    return F.transform(found, lambda m: F.struct(m["label"].alias("label"), m["start"].alias("start"), m["share"].alias("share")))
+
+
 def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str, str]] = TEMPLATES,
@@ -109,40 +170,16 @@ def scan(
     text: str = "text",
 ) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches), one row per input row."""
-    spark = docs.sparkSession
     vocabulary = {w for _, _, body in templates for w in body.split()} | {w for p in base for w in p.split()}
     vocabulary |= {w for _, phrase, _ in templates for w in phrase.split()}
     found = stored(postings(docs, vocabulary, id_col, text), "postings")
-    # No more rows than the vocabulary and the templates have words: both may be broadcast.
-    weights = F.broadcast(stored(word_weights(found), "word-weights"))
-    listed = [(t, *entry) for t, (_, phrase, body) in enumerate(templates) for entry in _entries(phrase, body)]
-    index = spark.createDataFrame(listed, "template int, place int, word string, of_body boolean, of_key boolean")
-    index = stored(index.join(weights, "word", "left").withColumn("idf", F.coalesce("idf", F.lit(0.0))), "template-index")
-    weight = F.when(F.col("of_body"), F.round("idf", 9)).otherwise(F.lit(0.0)).cast("decimal(20,9)")
-    totals = index.groupBy("template").agg(F.sum(weight).cast("double").alias("whole"))
-    # A key phrase cannot stand without its rarest word, so no occurrence goes without a vote.
-    anchors = index.filter("of_key").groupBy("template").agg(F.max_by("place", F.struct("idf", -F.col("place"))).alias("anchor"))
-    index = index.join(F.broadcast(anchors), "template")
-
-    hits = found.filter(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.word", "h.at")
-    # Dealt by text before the words meet the index: the alignments, many more, are summed where they arise.
-    aligned = hits.repartition("uid").join(F.broadcast(index), "word")
-    start = F.col("at") - F.col("place")
-    votes = aligned.groupBy("uid", "template", start.alias("start")).agg(
-        F.sum(weight).alias("weight"), F.count_if(F.col("place") == F.col("anchor")).alias("votes")
-    )
-    votes = votes.filter("votes > 0").join(F.broadcast(totals), "template")
-    share = F.when(F.col("whole") > 0, F.least(F.lit(1.0), F.col("weight").cast("double") / F.col("whole"))).otherwise(0.0)
-    aligned_at = votes.groupBy("uid").agg(F.collect_list(F.struct("template", "start", share.alias("share"))).alias("aligned"))
-
-    rows = found.join(aligned_at, "uid", "left")
-    matches = [_matches(t, *template) for t, template in enumerate(templates)]
+    # One row for each word of the templates, however many texts there are.
+    idf = {row.word: row.idf for row in word_weights(found).collect()}
     base_starts = {phrase: starts(F.col("hits"), phrase) for phrase in base}
-    rows = rows.select("uid", id_col, "n_words", "hits", F.coalesce("aligned", F.array().cast(rows.schema["aligned"].dataType)).alias("aligned"))
-    rows = rows.select(
+    rows = found.select(
         id_col, "n_words",
         F.array(*(F.struct(F.lit(label).alias("label"), base_starts[p].alias("at")) for p, label in base.items())).alias("found"),
-        F.flatten(F.array(*matches)).alias("matches"),
+        template_matches(F.col("hits"), templates, idf).alias("matches"),
     )
     places = F.flatten(F.col("found.at"))
     based = F.filter("found", lambda f: F.size(f["at"]) > 0)
@@ -160,14 +197,3 @@ def scan(
         "matches",
     )
 
-
-def _matches(number: int, label: str, phrase: str, body: str) -> Column:
-    """(label, start, share) wherever the key phrase of a template stands; share of the alignment it stands in."""
-    offset = _offset(phrase, body)
-
-    def match(at: Column) -> Column:
-        here = F.filter("aligned", lambda a: (a["template"] == number) & (a["start"] == at - offset))
-        share = F.coalesce(F.array_max(F.transform(here, lambda a: a["share"])), F.lit(0.0))
-        return F.struct(F.lit(label).alias("label"), at.alias("start"), share.alias("share"))
-
-    return F.transform(starts(F.col("hits"), phrase), match)
