@@ -3,10 +3,11 @@
 A fingerprint keeps every hash of a text's five-word shingles that lies in the
 lowest `1 / SCALE` of the hash range. Two fingerprints merge by union, and their
 overlap estimates how far one text is contained in the other even when their
-lengths differ much. A text whose shingles all lie above the threshold keeps its
-smallest one, so only texts without words have an empty fingerprint. Fewer words
-than five are one shingle. Likeness is the shared part of the smaller fingerprint;
-two empty ones are alike, an empty one and another are not.
+lengths differ much. Fewer words than five are one shingle. Likeness is the shared part
+of the smaller fingerprint. The fingerprint of a short text can be empty, as all its hashes
+may lie above the threshold; where one of two is empty, the likeness is the shared part of
+the smaller whole set of hashes, taken from both texts. Texts without words are alike, and
+unlike any other text.
 
 Null texts count as empty. Rows with a null id stand before all others; equal ids
 are ordered by their texts.
@@ -32,9 +33,8 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.lower(text), "\t\n\x0b\x0c\r", " " * 5), " "), "")
 
 
-def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
-    """Sorted hashes of a text's fingerprint."""
-    below = F.lit(-(2**63) + 2**64 // scale)
+def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
+    """Distinct hashes of all shingles of a text."""
 
     def shingles(h: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(h) - shingle + 1)
@@ -42,24 +42,36 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
         few = F.when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
         return F.when(F.size(h) >= shingle, many).otherwise(few)
 
-    def kept(s: Column) -> Column:
-        least = F.when(F.size(s) > 0, F.array(F.array_min(s))).otherwise(s)
-        return _let(F.filter(s, lambda x: x < below), lambda low: F.when(F.size(low) > 0, low).otherwise(least))
+    return F.array_distinct(_let(F.transform(words_of(text), lambda w: F.xxhash64(w)), shingles))
 
-    hashes = F.transform(words_of(text), lambda w: F.xxhash64(w))
-    return F.array_sort(F.array_distinct(_let(_let(hashes, shingles), kept)))
+
+def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
+    """Sorted hashes of a text's fingerprint."""
+    below = F.lit(-(2**63) + 2**64 // scale)
+    return F.array_sort(F.filter(shingle_hashes(text, shingle), lambda x: x < below))
 
 
 def printed(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda x: F.lower(F.hex(x))), ",")
 
 
-def likeness(a: Column, b: Column) -> Column:
+def shared_part(a: Column, b: Column) -> Column:
+    """Shared part of the smaller set; 1 if both are empty, 0 if one is."""
     least = F.least(F.size(a), F.size(b))
     shared = F.size(F.array_intersect(a, b)) / least
     return F.when(least > 0, shared).otherwise((F.size(a) == F.size(b)).cast("double"))
 
 
+def likeness(a: Column, b: Column, text_a: Column, text_b: Column) -> Column:
+    """Estimated by two fingerprints; by the whole sets of both texts where a fingerprint is empty."""
+
+    def exact(pair: Column) -> Column:
+        return shared_part(pair["a"], pair["b"])
+
+    whole = _let(F.struct(shingle_hashes(text_a).alias("a"), shingle_hashes(text_b).alias("b")), exact)
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), shared_part(a, b)).otherwise(whole)
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, text, sketch, next_text, next_sketch); after the last document comes the first.
 
@@ -103,6 +115,6 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         printed(F.col("sketch")).alias("fingerprint"),
         printed(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        likeness(F.col("sketch"), F.col("edited_sketch"), F.col("text"), F.col("edited")).alias("near_edited"),
+        likeness(F.col("sketch"), F.col("next_sketch"), F.col("text"), F.col("next_text")).alias("near_next"),
     )

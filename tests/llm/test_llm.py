@@ -177,6 +177,33 @@ def test_fingerprints(spark, docs):
     assert fingerprints.edited_fingerprints(empty(spark)).count() == 0
 
 
+def test_likeness_equals_brute_force(spark):
+    """Short texts inside long ones, whose fingerprints may be empty, and long ones, which are estimated."""
+    rng = np.random.default_rng(5)
+    long = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) for n in (40, 400, 400, 400)]
+    rows = [(10 * i + j, text) for i, whole in enumerate(long) for j, text in enumerate(
+        [" ".join(whole.split()[3:15]), whole, " ".join(whole.split()[-9:]), "", " ".join(whole.split()[:3])])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+    def whole(text):
+        words = text.lower().split()
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+
+    def part(a, b):
+        return len(a & b) / min(len(a), len(b)) if a and b else float(a == b)
+
+    found = {r.doc_id: r for r in fingerprints.edited_fingerprints(docs).collect()}
+    exact = 0
+    for (doc_id, text), (next_id, after) in zip(rows, [*rows[1:], rows[0]]):
+        mine, other = ({*r.split(",")} - {""} for r in (found[doc_id].fingerprint, found[next_id].fingerprint))
+        want = part(mine, other) if mine and other else part(whole(text), whole(after))
+        assert found[doc_id].near_next == pytest.approx(want), doc_id
+        exact += not mine
+    assert exact > 4
+    # A text that stands whole in the next one is contained in it, whatever its fingerprint holds.
+    assert [found[10 * i].near_next for i in range(4)] == [1.0] * 4
+
+
 def test_mix_meets_its_targets(spark):
     rows = [(i, "w " * (i % 7), ["a", "b", None, "é"][i % 4] if i % 10 else "hot") for i in range(400)]
     rows += [(None, "x y", "a"), (3, None, "b"), (3, None, "b")]
