@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from scoutlake.contracts import MATCH_ITEM, RAW_CSV, STAR_KEYS, STAR_TABLES
+from scoutlake.contracts import GOLD, MATCH_ITEM, RAW_CSV, STAR_KEYS, STAR_TABLES
 from scoutlake.plans import reports
 from scoutlake.plans.gold import match_rows
 from scoutlake.plans.scout_view import scout_view
@@ -233,6 +233,15 @@ def served_report(spark: SparkSession, sf: str) -> DataFrame:
     return reports.undervalued_by_impact(scout_view(tables["dim_players"], tables["dim_clubs"]))
 
 
+def published_valuations(spark: SparkSession, sf: str) -> DataFrame:
+    """The valuations of a star that was loaded twice: first without them, then with all; read through the pointer."""
+    root = work_dir(spark, "publish")
+    sinks.write_parquet(gold_registry.valuations(spark, sf), f"{root}/gold/valuations")
+    star.load_star(spark, f"{root}/none", f"{root}/star")
+    star.load_star(spark, f"{root}/gold", f"{root}/star")
+    return star.open_star(spark, f"{root}/star")["fact_valuations"]
+
+
 def _star_line(gold: str, name: str) -> str:
     keys = STAR_KEYS.get(name)
     kept = f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {gold}))" if keys else "count(*)"
@@ -263,6 +272,9 @@ INGESTED_JSON = " UNION ALL ".join(
         "standings": "standing_groups",
     }.items()
 )
+_REST = ", ".join(f"{c} NULLS FIRST" for c in GOLD["valuations"].names if c not in STAR_KEYS["fact_valuations"])
+PUBLISHED = f"""SELECT * FROM g_valuations
+    QUALIFY row_number() OVER (PARTITION BY {', '.join(STAR_KEYS["fact_valuations"])} ORDER BY {_REST}) = 1"""
 MATCH_FIELDS = gold_registry.QUERIES["match_fields"].oracle
 
 WHOLE_GAMES = oracle("SELECT * REPLACE (CAST(date AS DATE) AS date) FROM games")
@@ -349,5 +361,6 @@ QUERIES = {
         full_refresh,
         oracle(" UNION ALL ".join(_star_line(f"g_{g}", s) for g, s in STAR_TABLES.items())),
     ),
+    "published_valuations": Query(published_valuations, oracle(PUBLISHED)),
     "served_report": Query(served_report, oracle(IMPACT)),
 }

@@ -10,7 +10,7 @@ from scoutlake.contracts import MATCH_ITEM, RAW_CSV
 from scoutlake.plans.gold import match_rows
 from scoutlake.plans.transform import transform_layer
 from scoutlake.session import work_dir
-from scoutlake.sources import audit, ingest, quality, readers, sinks, star
+from scoutlake.sources import audit, ingest, quality, readers, sinks, star, versions
 
 MATCHES = [
     {"id": 1, "matchday": 3, "utcDate": "2026-01-28T22:00:00Z", "homeTeam": {"name": "A"}, "score": {"fullTime": {"home": 2}}},
@@ -373,6 +373,68 @@ def test_star_load_removes_duplicates_and_skips_missing_tables(spark, tmp_path,
     assert rows(kept.filter("valuation_date = '2024-01-01'"), "market_value_in_eur") == [(4.0,)]
 
 
+def valuations(spark, players, days, value):
+    rows = spark.range(players * days).selectExpr(
+        f"lpad(string(id % {players}), 6, '0') as player_id", f"date_add('2020-01-01', int(id div {players})) as valuation_date",
+        f"double({value}) as market_value_in_eur")
+    return rows.repartition(7)
+
+
+def test_readers_of_a_star_see_one_whole_version(spark, tmp_path):
+    gold_root, star_root = str(tmp_path / "gold"), str(tmp_path / "star")
+    assert star.open_star(spark, star_root) == {}
+    for name in ("valuations", "players"):
+        valuations(spark, 5, 4, 1).write.parquet(f"{gold_root}/{name}")
+    star.load_star(spark, gold_root, star_root)
+    before = star.open_star(spark, star_root)
+    valuations(spark, 9, 4, 2).write.mode("overwrite").parquet(f"{gold_root}/valuations")
+    # The refresh of the players fails: no such column type can be read.
+    (tmp_path / "gold" / "players" / "part-x.parquet").write_bytes(b"no parquet")
+    report = {r.table_name: r.status for r in star.load_star(spark, gold_root, star_root).collect()}
+    assert (report["fact_valuations"], report["dim_players"], report["fact_games"]) == ("loaded", "error", "skipped")
+    after = star.open_star(spark, star_root)
+    totals = [t["fact_valuations"].agg(F.count("*"), F.sum("market_value_in_eur")).first() for t in (before, after)]
+    assert [tuple(t) for t in totals] == [(20, 20.0), (36, 72.0)]
+    assert before["dim_players"].count() == after["dim_players"].count() == 5
+    assert versions.versions(spark, star_root) == [2, 1]
+    assert star.open_star(spark, star_root, version=1)["fact_valuations"].count() == 20
+
+
+def test_a_manifest_that_is_not_whole_is_not_current(spark, tmp_path):
+    root = str(tmp_path)
+    assert versions.publish(spark, root, {}) is None and versions.published(spark, root) == {}
+    assert versions.publish(spark, root, {"a": f"{root}/v-1/a", "b": f"{root}/v-1/b"}) == 1
+    (tmp_path / "_versions" / "0000000002.json").write_text('{"a": "v-2')
+    assert versions.published(spark, root) == {"a": f"{root}/v-1/a", "b": f"{root}/v-1/b"}
+    assert versions.publish(spark, root, {"b": f"{root}/v-3/b"}) == 3
+    assert versions.published(spark, root) == {"a": f"{root}/v-1/a", "b": f"{root}/v-3/b"}
+    for path in ("v-1/a", "v-1/b", "v-3/b", "v-4/b"):
+        (tmp_path / path).mkdir(parents=True)
+    assert versions.drop_old(spark, root, keep=1) == ["v-1/b"]
+    assert (tmp_path / "v-1" / "a").exists() and (tmp_path / "v-4" / "b").exists()
+    assert versions.versions(spark, root) == [3]
+
+
+def test_star_files_hold_ranges_of_their_keys(spark, tmp_path):
+    gold_root, star_root = str(tmp_path / "gold"), str(tmp_path / "star")
+    # A third of the rows is of one player.
+    many = valuations(spark, 40, 50, 1).unionAll(valuations(spark, 1, 1000, 1).withColumn("player_id", F.lit("000020")))
+    many.write.parquet(f"{gold_root}/valuations")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        report = {r.table_name: r for r in star.load_star(spark, gold_root, star_root).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    line = report["fact_valuations"]
+    distinct = many.select("player_id", "valuation_date").distinct().count()
+    assert (line.rows_read, line.rows_written, line.duplicates_removed) == (3000, distinct, 3000 - distinct)
+    key = F.struct("player_id", "valuation_date")
+    found = star.open_star(spark, star_root)["fact_valuations"].groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).orderBy("low").collect()
+    assert len(found) >= 4 and all(a.high < b.low for a, b in zip(found, found[1:]))
+    assert max(f.n for f in found) < distinct / 2
+
+
 def test_work_dir_is_below_the_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
