@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from scoutlake.contracts import DOMESTIC_LEAGUE
 from scoutlake.functions import contains_ci, expected_goals, score_goals, tendency
 from scoutlake.ml.boosting import Trained, fit, split_by_key
+from scoutlake.ml.model_store import fit_once
 from scoutlake.operators.aggregates import home_away_strength, with_means
 from scoutlake.operators.relational import drop_incomplete, role_join
 
@@ -27,15 +28,6 @@ AWAY_ROLE = {
 }
 FEATURES = (*HOME_ROLE, *AWAY_ROLE)
 TARGET = "total_goals"
-# Fixtures of the demonstration.
-DEMO_FIXTURES = (
-    ("Bayern", "Dortmund"),
-    ("Barcelona", "Real Madrid"),
-    ("Liverpool", "Arsenal"),
-    ("Flamengo", "Palmeiras"),
-    ("Napoli", "Inter"),
-    ("Paris Saint-Germain", "Marseille"),
-)
 
 
 def team_strength(games: DataFrame, min_games: int = 10) -> DataFrame:
@@ -51,10 +43,18 @@ def game_features(games: DataFrame, strength: DataFrame) -> DataFrame:
 
 
 def train_match_goals(
-    features: DataFrame, trees: int = 150, depth: int = 4, step: float = 0.1, seed: int = 42
+    features: DataFrame, trees: int = 150, depth: int = 4, step: float = 0.1, seed: int = 42, store: str | None = None
 ) -> tuple[Trained, DataFrame, DataFrame]:
+    """The model with its training and held-out rows; with a `store` folder it is fitted once for equal rows and settings."""
     train, held_out = split_by_key(features, "game_id", seed=seed)
-    return fit(train, FEATURES, TARGET, trees, depth, step, seed), train, held_out
+
+    def fitted() -> Trained:
+        return fit(train, FEATURES, TARGET, trees, depth, step, seed)
+
+    if store is None:
+        return fitted(), train, held_out
+    settings = {"model": "match_goals", "trees": trees, "depth": depth, "step": step, "seed": seed}
+    return fit_once(store, train, [*FEATURES, TARGET], settings, fitted, FEATURES, TARGET), train, held_out
 
 
 def find_clubs(strength: DataFrame, patterns: Sequence[str]) -> DataFrame:
@@ -73,7 +73,7 @@ def find_clubs(strength: DataFrame, patterns: Sequence[str]) -> DataFrame:
 
 
 def predict_fixtures(
-    trained: Trained, strength: DataFrame, fixtures: Sequence[tuple[str, str]] = DEMO_FIXTURES
+    trained: Trained, strength: DataFrame, fixtures: Sequence[tuple[str, str]]
 ) -> DataFrame:
     """Predicted goals, expected goals per side, likeliest score and kind of game per fixture.
 

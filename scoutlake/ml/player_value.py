@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scoutlake.functions import in_millions, per_90, ratio_or_zero
 from scoutlake.ml.boosting import Trained, fit, split_by_key
+from scoutlake.ml.model_store import fit_once
 from scoutlake.operators.aggregates import fill_median
 from scoutlake.operators.relational import drop_incomplete, top_n
 
@@ -48,15 +49,27 @@ def player_features(players: DataFrame, impute_height: bool = False) -> DataFram
 
 
 def train_player_value(
-    features: DataFrame, trees: int = 200, depth: int = 6, step: float = 0.1, seed: int = 42, leak: bool = False
+    features: DataFrame, trees: int = 200, depth: int = 6, step: float = 0.1, seed: int = 42, leak: bool = False,
+    store: str | None = None,
 ) -> tuple[Trained, DataFrame, DataFrame]:
-    """The model with its training and held-out rows. `leak` adds the feature made from the target."""
+    """The model with its training and held-out rows. `leak` adds the feature made from the target.
+
+    With a `store` folder the model is fitted once for equal rows and settings.
+    """
     train, held_out = split_by_key(features, "player_id", seed=seed)
     names = (*FEATURES, LEAKING_FEATURE) if leak else FEATURES
     position = StringIndexer(
         inputCol="position", outputCol="position_enc", stringOrderType="alphabetAsc", handleInvalid="keep"
     )
-    return fit(train, names, TARGET, trees, depth, step, seed, [position]), train, held_out
+
+    def fitted() -> Trained:
+        return fit(train, names, TARGET, trees, depth, step, seed, [position])
+
+    if store is None:
+        return fitted(), train, held_out
+    columns = [c for c in names if c != "position_enc"] + ["position", TARGET]
+    settings = {"model": "player_value", "trees": trees, "depth": depth, "step": step, "seed": seed, "names": names}
+    return fit_once(store, train, columns, settings, fitted, names, TARGET), train, held_out
 
 
 def value_potential(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scoutlake.ml import match_goals, player_value
+from scoutlake.ml import match_goals, model_store, player_value
 from scoutlake.registry import Query, gold
 from scoutlake.registry.oracle import oracle
+from scoutlake.session import shared_root, work_dir
 
 
 def player_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,9 +36,21 @@ def game_features(spark: SparkSession, sf: str) -> DataFrame:
     return match_goals.game_features(games, match_goals.team_strength(games))
 
 
+@functools.lru_cache(maxsize=1)
+def _own_store(application: str, spark: SparkSession) -> str:
+    return work_dir(spark, "models")
+
+
+def _store(spark: SparkSession) -> str:
+    """Models are kept in the shared folder; a session that names none has a folder of its own."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return f"{shared_root(spark)}/scoutlake/models"
+    return _own_store(spark.sparkContext.applicationId, spark)
+
+
 def _player_model(spark: SparkSession, sf: str):
-    features = player_value.player_features(gold.players(spark, sf)).cache()
-    return features, *player_value.train_player_value(features)
+    features = player_value.player_features(gold.players(spark, sf))
+    return features, *player_value.train_player_value(features, store=_store(spark))
 
 
 def player_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,9 +69,10 @@ def value_potential(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _goals_model(spark: SparkSession, sf: str):
-    games = gold.games(spark, sf).cache()
+    games = gold.games(spark, sf)
     strength = match_goals.team_strength(games)
-    return strength, *match_goals.train_match_goals(match_goals.game_features(games, strength))
+    features = match_goals.game_features(games, strength)
+    return strength, *match_goals.train_match_goals(features, store=_store(spark))
 
 
 def goals_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,8 +82,37 @@ def goals_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def fixture_predictions(spark: SparkSession, sf: str) -> DataFrame:
     strength, trained, _, _ = _goals_model(spark, sf)
-    fixtures = [("Team 1 ", "team 2 "), ("TEAM 17", "Team 23 FC"), ("Nowhere", "Team 1 "), ("Team 5 ", "Nowhere")]
-    return match_goals.predict_fixtures(trained, strength, fixtures)
+    return match_goals.predict_fixtures(trained, strength, FIXTURES)
+
+
+FIXTURES = [("Team 1 ", "team 2 "), ("TEAM 17", "Team 23 FC"), ("Nowhere", "Team 1 "), ("Team 5 ", "Nowhere")]
+
+
+def fixture_clubs(spark: SparkSession, sf: str) -> DataFrame:
+    """What the predictions hold beside the model's own goals: clubs, status, expected goals and score line."""
+    columns = ["fixture", "home", "away", "home_club", "away_club", "status", "expected_home", "expected_away", "likely_score"]
+    return fixture_predictions(spark, sf).select(columns)
+
+
+def player_scores_by_tree_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Per player: is the model's score the one that the table of its trees gives?"""
+    features, trained, _, _ = _player_model(spark, sf)
+    nodes = model_store.tree_table(spark, trained, work_dir(spark, "trees"))
+    scores = model_store.tree_scores(trained, features, "player_id", nodes)
+    own = trained.model.transform(features).select("player_id", "prediction").join(scores, "player_id", "left")
+    near = F.abs(F.col("prediction") - F.col("tree_score")) <= 1e-9 * F.greatest(F.abs("prediction"), F.lit(1.0))
+    return own.select("player_id", F.coalesce(near, F.lit(False)).alias("same"))
+
+
+def goals_by_tree_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Per league game: is the model's score the one that the table of its trees gives?"""
+    _, trained, train, held_out = _goals_model(spark, sf)
+    features = train.unionByName(held_out)
+    nodes = model_store.tree_table(spark, trained, work_dir(spark, "trees"))
+    scores = model_store.tree_scores(trained, features, "game_id", nodes)
+    own = trained.model.transform(features).select("game_id", "prediction").join(scores, "game_id", "left")
+    near = F.abs(F.col("prediction") - F.col("tree_score")) <= 1e-9 * F.greatest(F.abs("prediction"), F.lit(1.0))
+    return own.select("game_id", F.coalesce(near, F.lit(False)).alias("same"))
 
 
 def found_clubs(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,7 +149,36 @@ PLAYER_FEATURES = oracle("""SELECT player_id, coalesce(position, 'Unknown') AS p
                     highest_market_value_in_eur
                   FROM g_players WHERE market_value_in_eur > 0 AND age IS NOT NULL AND total_minutes > 0""")
 
+_LEAGUE_GAMES = """SELECT g.game_id FROM g_games g JOIN strength h ON h.club_id = g.home_club_id
+                  JOIN strength a ON a.club_id = g.away_club_id
+                  WHERE g.competition_type = 'domestic_league' AND g.total_goals IS NOT NULL"""
+
+
+def _first_club(pattern: str) -> str:
+    return f"""SELECT s FROM strength s WHERE contains(lower(s.club_name), lower('{pattern}'))
+               ORDER BY s.club_name, s.club_id LIMIT 1"""
+
+
+def _fixture_line(number: int, home: str, away: str) -> str:
+    return f"""SELECT {number} AS fixture, '{home}' AS home, '{away}' AS away, h.club_name AS home_club, a.club_name AS away_club,
+        CASE WHEN h IS NULL THEN 'club not found: {home}' WHEN a IS NULL THEN 'club not found: {away}' ELSE 'predicted' END AS status,
+        h.avg_goals_scored_home * a.avg_goals_conceded_away / (SELECT avg(avg_goals_conceded_away) FROM strength) AS eh,
+        a.avg_goals_scored_away * h.avg_goals_conceded_home / (SELECT avg(avg_goals_conceded_home) FROM strength) AS ea
+      FROM (SELECT ({_first_club(home)}) AS h, ({_first_club(away)}) AS a)"""
+
+
+FIXTURE_CLUBS = oracle(f"""SELECT fixture, home, away, home_club, away_club, status, round(eh, 1) AS expected_home,
+    round(ea, 1) AS expected_away, CASE WHEN status = 'predicted' THEN CAST(round_even(eh, 0) AS INTEGER) || '-' || CAST(round_even(ea, 0) AS INTEGER)
+    END AS likely_score FROM ({' UNION ALL '.join(_fixture_line(i, *f) for i, f in enumerate(FIXTURES))}) lines""")
+
 QUERIES = {
+    "fixture_clubs": Query(fixture_clubs, FIXTURE_CLUBS),
+    "player_scores_by_tree_table": Query(
+        player_scores_by_tree_table,
+        oracle("""SELECT player_id, true AS same FROM g_players WHERE market_value_in_eur > 0 AND age IS NOT NULL
+                  AND total_minutes > 0 AND height_in_cm IS NOT NULL AND highest_market_value_in_eur IS NOT NULL"""),
+    ),
+    "goals_by_tree_table": Query(goals_by_tree_table, oracle(f"SELECT game_id, true AS same FROM ({_LEAGUE_GAMES}) played")),
     "player_features": Query(player_features, PLAYER_FEATURES),
     "player_features_whole": Query(player_features, PLAYER_FEATURES),
     "encoded_positions": Query(

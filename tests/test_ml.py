@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from scoutlake.contracts import GOLD
-from scoutlake.ml import match_goals, player_value
+from scoutlake.ml import match_goals, model_store, player_value
 from scoutlake.ml.boosting import split_by_key
 
 
@@ -107,6 +107,29 @@ def test_match_goals_model_and_fixtures(games):
     assert rows[2].predicted_goals is None
 
 
+def test_models_are_fitted_once_and_scored_by_their_trees(spark, players, tmp_path, monkeypatch):
+    features = player_value.player_features(players)
+    store, fits = f"{tmp_path}/models", []
+    fit = player_value.fit
+    monkeypatch.setattr(player_value, "fit", lambda *args: fits.append(1) or fit(*args))
+    sizes = {"trees": 5, "depth": 3, "step": 0.3, "store": store}
+    first, *_ = player_value.train_player_value(features, **sizes)
+    # Equal rows in another order find the kept model; other settings or other rows do not.
+    again, _, held_out = player_value.train_player_value(features.repartition(5), **sizes)
+    assert len(fits) == 1 and again.features == first.features and again.label == first.label
+    player_value.train_player_value(features, **{**sizes, "trees": 2})
+    player_value.train_player_value(features.unionAll(features.limit(1)), **sizes)
+    assert len(fits) == 3
+    nodes = model_store.tree_table(spark, again, f"{tmp_path}/trees").cache()
+    assert nodes.select("tree").distinct().count() == 5 and nodes.filter("categories is not null").count() > 0
+    scores = {r.player_id: r.tree_score for r in model_store.tree_scores(again, held_out, "player_id", nodes).collect()}
+    own = {r.player_id: r.prediction for r in first.model.transform(held_out).collect()}
+    assert scores == pytest.approx(own) and len(own) > 20
+    assert model_store.tree_scores(again, held_out.limit(0), "player_id", nodes).count() == 0
+    weights = first.importances(spark, len(first.features)).collect()
+    assert sum(r.importance for r in weights) == pytest.approx(1)
+
+
 def test_registered_models_are_those_of_the_operators(monkeypatch):
     """The queries pass no sizes of their own, so the operators' 200 x 6 and 150 x 4 hold."""
     from scoutlake.registry import models
@@ -115,7 +138,8 @@ def test_registered_models_are_those_of_the_operators(monkeypatch):
 
     def train(name, found):
         def record(features, *sizes, **named):
-            seen[name] = (sizes, named)
+            assert set(named) <= {"store"}
+            seen[name] = (sizes, {})
             return None, None, None
 
         monkeypatch.setattr(found, name, record)
@@ -126,6 +150,7 @@ def test_registered_models_are_those_of_the_operators(monkeypatch):
         monkeypatch.setattr(module, name, lambda *_: _Cached())
     for module, name in ((player_value, "player_features"), (match_goals, "team_strength"), (match_goals, "game_features")):
         monkeypatch.setattr(module, name, lambda *_: _Cached())
+    monkeypatch.setattr(models, "_store", lambda _: "kept")
     models._player_model(None, "")
     models._goals_model(None, "")
     assert seen == {"train_player_value": ((), {}), "train_match_goals": ((), {})}
