@@ -441,3 +441,16 @@ def test_work_dir_is_below_the_shared_folder(spark):
     assert first != second
     if named:
         assert first.startswith(named)
+
+
+def test_text_layers_are_compressed_and_checked(spark, rows, tmp_path):
+    df = spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit("a, b").alias("note")).coalesce(1)
+    sinks.write_raw(df, f"{tmp_path}/raw/dump", "players", "csv")
+    sinks.write_raw(df.select(F.to_json(F.struct("id")).alias("value")), f"{tmp_path}/raw/api", "teams", "text")
+    found = quality.validate_layer(spark, f"{tmp_path}/raw", f"{tmp_path}/validated", {"dump": "csv", "api": "json_lines"}).collect()
+    assert [(r.status, r.valid, r.failed) for r in found] == [("checked", 1, 0), ("checked", 1, 0)]
+    for layer in ("raw", "validated"):
+        files = [p.name for p in (tmp_path / layer).rglob("part-*") if "_manifest" not in str(p)]
+        assert len(files) == 2 and all(name.endswith(".gz") for name in files)
+        assert rows(readers.read_csv(spark, f"{tmp_path}/{layer}/dump/players")) == rows(df)
+        assert spark.read.text(f"{tmp_path}/{layer}/api/teams").count() == 500
