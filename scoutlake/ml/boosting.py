@@ -58,7 +58,10 @@ def fit(
     seed: int = 42,
     stages: Sequence = (),
 ) -> Trained:
+    """The fitted pipeline. Every level of every tree is a job, whose tasks each answer to the driver, so there are no
+    more tasks than cores, however many files the rows come from."""
     ensure_checkpoints(train.sparkSession)
+    train = train.coalesce(train.sparkSession.sparkContext.defaultParallelism)
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
     booster = GBTRegressor(
         featuresCol="_features", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=step, seed=seed

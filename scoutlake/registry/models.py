@@ -8,6 +8,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scoutlake.ml import match_goals, model_store, player_value
+from scoutlake.operators.ranges import stored_parts
 from scoutlake.registry import Query, gold
 from scoutlake.registry.oracle import oracle
 from scoutlake.session import shared_root, work_dir
@@ -49,7 +50,8 @@ def _store(spark: SparkSession) -> str:
 
 
 def _player_model(spark: SparkSession, sf: str):
-    features = player_value.player_features(gold.players(spark, sf))
+    """The features are stored: key, split points, fit and scores pass over them, and would each derive them anew."""
+    features = stored_parts(player_value.player_features(gold.players(spark, sf)), "features")
     return features, *player_value.train_player_value(features, store=_store(spark))
 
 
@@ -68,10 +70,18 @@ def value_potential(spark: SparkSession, sf: str) -> DataFrame:
     return player_value.value_potential(trained, features)
 
 
+# What the strengths and features read of a game.
+GAME_COLUMNS = (
+    "game_id", "competition_type", "home_club_id", "away_club_id", "home_club_name", "home_club_goals", "away_club_goals",
+    "total_goals", "attendance",
+)
+
+
 def _goals_model(spark: SparkSession, sf: str):
-    games = gold.games(spark, sf)
-    strength = match_goals.team_strength(games)
-    features = match_goals.game_features(games, strength)
+    """Games, strengths and features are stored, as each is read by several passes."""
+    games = stored_parts(gold.games(spark, sf).select(*GAME_COLUMNS), "games")
+    strength = stored_parts(match_goals.team_strength(games), "strength")
+    features = stored_parts(match_goals.game_features(games, strength), "features")
     return strength, *match_goals.train_match_goals(features, store=_store(spark))
 
 

@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from scoutlake.contracts import GOLD
-from scoutlake.ml import match_goals, model_store, player_value
+from scoutlake.ml import boosting, match_goals, model_store, player_value
 from scoutlake.ml.boosting import split_by_key
 
 
@@ -159,3 +159,12 @@ def test_registered_models_are_those_of_the_operators(monkeypatch):
 class _Cached:
     def cache(self):
         return self
+
+
+def test_fit_has_no_more_tasks_than_cores(spark, monkeypatch):
+    seen = []
+    fit = boosting.Pipeline.fit
+    monkeypatch.setattr(boosting.Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    df = spark.range(200).select(F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y")).repartition(40)
+    boosting.fit(df, ["x"], "y", trees=1, depth=1)
+    assert seen == [spark.sparkContext.defaultParallelism]
