@@ -454,3 +454,13 @@ def test_text_layers_are_compressed_and_checked(spark, rows, tmp_path):
         assert len(files) == 2 and all(name.endswith(".gz") for name in files)
         assert rows(readers.read_csv(spark, f"{tmp_path}/{layer}/dump/players")) == rows(df)
         assert spark.read.text(f"{tmp_path}/{layer}/api/teams").count() == 500
+
+
+def test_layers_of_text_take_fast_gzip(spark, tmp_path):
+    """The file holds what zlib makes at its fastest level, not at its default one."""
+    sinks.write_text(spark.range(20_000).selectExpr("concat(id, ',', id * 37 % 1001)").coalesce(1), f"{tmp_path}/t")
+    (file,) = (tmp_path / "t").glob("*.gz")
+    text = gzip.decompress(file.read_bytes())
+    assert text.count(b"\n") == 20_000
+    fast, default = (len(gzip.compress(text, level)) for level in (1, 6))
+    assert abs(file.stat().st_size - fast) < abs(file.stat().st_size - default)
