@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from scoutlake.contracts import MATCH_ITEM, RAW_CSV
+from scoutlake.operators import windows
 from scoutlake.plans.gold import match_rows
 from scoutlake.plans.transform import transform_layer
 from scoutlake.session import work_dir
@@ -464,3 +465,24 @@ def test_layers_of_text_take_fast_gzip(spark, tmp_path):
     assert text.count(b"\n") == 20_000
     fast, default = (len(gzip.compress(text, level)) for level in (1, 6))
     assert abs(file.stat().st_size - fast) < abs(file.stat().st_size - default)
+
+
+def test_valuations_are_shuffled_once_for_keys_and_files(spark, rows):
+    """One row per key, null keys and keys on both sides of a batch included, with one shuffle instead of two."""
+    kinds = "player_id string, valuation_date string, market_value_in_eur double, player_name string"
+    data = [(p, d, v, n) for p in (*"abc", None) for d in ("2020-01-01", None) for v in (3.0, 1.0, None, 2.0) for n in ("y", "x", None)]
+    gold = spark.createDataFrame(data * 3, kinds).repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        kept = star.star_rows(gold, "valuations", "fact_valuations")
+        found = rows(kept, "player_id", F.col("valuation_date").cast("string"), "market_value_in_eur", "player_name")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == rows(spark.createDataFrame([(p, d, None, None) for p in (*"abc", None) for d in ("2020-01-01", None)], kinds))
+    plan = star.star_rows(gold.coalesce(1), "valuations", "fact_valuations")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
+    # A task sends one row of a key.
+    once = windows.first_in_ranges(spark.range(1_000).selectExpr("id % 2 AS k", "id AS v").coalesce(1), ["k"], [F.col("v")])
+    assert rows(once) == [(0, 0), (1, 1)]
+    shown = once._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.index("RepartitionByExpression") < shown.index("MapInArrow")
