@@ -11,15 +11,16 @@ others are grouped by how their bytes look. Weights are fitted by local steps in
 task and averaged over the tasks. Each round takes another 1 in `ROUNDS` of a text's
 windows, so after the last one every window of the training texts was learned from once.
 
-A text is scored in windows of `WIDTH` ids that overlap by `WIDTH - STRIDE`: a window
-scores the ids that the one before has not, with at least the overlap as context, so
+A text is scored in windows of `WIDTH` ids that overlap by `BACK`: a window scores its
+last `STRIDE` places, the first `BACK` are context alone (before the text: its begin), so
 each id and the end of the text are scored once. Null texts are empty: they have the
 end alone. Repeated rows are scored alike, each once; other columns are dropped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -28,17 +29,20 @@ import tiktoken
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from scoutlake.llm.common import WordHashes, bounded_batches, id_fold, stored, text_slices
+from scoutlake.llm.common import bounded_batches, id_fold, stored, text_slices
 
 HEAD = 1 << 18
+BUCKETS = 18  # leading bits of a hash that point to its place among the words of the head
 DIMS, WIDTH, STRIDE = 16, 32, 24
-LOW, HASHED = 2_048, 2_048
+BACK = WIDTH - STRIDE
+LOW, HASHED = 2_048, 2_048  # a power of two
 BEGIN = LOW + HASHED
 SINGLES, GROUPS = 46, 16
 CLASSES = SINGLES + GROUPS + 1
 END = CLASSES - 1
 ROUNDS, BATCH, RATE = 2, 64, 0.02
-WINDOWS = 512
+EARLY, MERGED = 200, 4
+WINDOWS = 64
 END_WORD = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 SEED = 11
 
@@ -54,16 +58,32 @@ class Tables(NamedTuple):
 # --- base -------------------------------------------------------------------
 
 
-def _hashes(text: str, words: WordHashes) -> np.ndarray:
+def _hashes(text: str) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split()
-    return np.append(words.of(found), END_WORD)
+    return np.append(np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)), END_WORD)
+
+
+def places_in(known: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """A function that is `np.searchsorted(known, hashes)`; hashes are spread evenly, so their first bits lead near."""
+    shift = np.uint64(64 - BUCKETS)
+    starts = np.searchsorted(known, np.arange(1 << BUCKETS, dtype=np.uint64) << shift)
+    most = int(np.diff(np.append(starts, len(known))).max())
+    padded = np.append(known, ~np.uint64(0))
+
+    def find(hashes: np.ndarray) -> np.ndarray:
+        at = starts[hashes >> shift]
+        for _ in range(most):
+            at += padded[at] < hashes
+        return at
+
+    return find
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): counts of the words of all texts, by 64-bit hash; one end per text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, held = WordHashes(), [], 0
+        parts, held = [], 0
 
         def flush() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -71,7 +91,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for _, texts in text_slices(batch):
-                parts += [_hashes(t, words) for t in texts]
+                parts += [_hashes(t) for t in texts]
                 held += sum(len(p) for p in parts[-len(texts):])
                 if held > 4_000_000:
                     yield flush()
@@ -102,31 +122,32 @@ def base_scores(docs: DataFrame, counts: DataFrame, total: int, distinct: int, h
     shared = docs.sparkSession.sparkContext.broadcast((known[order], np.log10(table["n"].to_numpy(float)[order] + 1)))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (known, logs) = WordHashes(), shared.value
+        known, logs = shared.value
+        find = places_in(known)
         for batch in batches:
             for part, texts in text_slices(batch):
-                owner, word, n, n_tokens, n_known, score = [], [], [], [], [], []
-                for row, text in enumerate(texts):
-                    found = _hashes(text, words)
-                    at = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-                    hit = known[at] == found if len(known) else np.zeros(len(found), bool)
-                    rest, times = np.unique(found[~hit], return_counts=True)
-                    # The row of the text itself goes to the task of a word that nobody has counted.
-                    own = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed=1)
-                    owner.append(np.full(len(rest) + 1, row))
-                    word.append(np.append(rest, np.uint64(own)))
-                    n.append(np.append(times, 0))
-                    pad = np.zeros(len(rest))
-                    n_tokens.append(np.append(pad, len(found)))
-                    n_known.append(np.append(pad, hit.sum()))
-                    score.append(np.append(pad, logs[at[hit]].sum() if len(known) else 0.0))
-                owner = pa.array(np.concatenate(owner))
+                found = [_hashes(t) for t in texts]
+                sizes = np.array([len(f) for f in found])
+                words, row = np.concatenate(found), np.repeat(np.arange(len(texts)), sizes)
+                at = np.minimum(find(words), max(len(known) - 1, 0))
+                hit = known[at] == words if len(known) else np.zeros(len(words), bool)
+                inside, at = row[hit], at[hit]
+                row, words = row[~hit], words[~hit]
+                order = np.lexsort((words, row))
+                row, words = row[order], words[order]
+                first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (words[1:] != words[:-1]))[: len(row)])
+                # The row of the text itself goes to the task of a word that nobody has counted.
+                own = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seed=1) for t in texts]
+                owner = pa.array(np.append(np.arange(len(texts)), row[first]))
+                pad = np.zeros(len(first), np.int64)
+                n_known = np.bincount(inside, minlength=len(texts))
+                score = np.bincount(inside, logs[at], len(texts)) if len(at) else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("key").take(owner), part.column("digest").take(owner),
-                        pa.array(np.concatenate(word).view(np.int64)), pa.array(np.concatenate(n).astype(np.int64)),
-                        pa.array(np.concatenate(n_tokens).astype(np.int64)),
-                        pa.array(np.concatenate(n_known).astype(np.int64)), pa.array(np.concatenate(score)),
+                        pa.array(np.append(np.array(own, np.uint64), words[first]).view(np.int64)),
+                        pa.array(np.append(np.zeros(len(texts), np.int64), np.diff(np.append(first, len(row))))),
+                        pa.array(np.append(sizes, pad)), pa.array(np.append(n_known, pad)), pa.array(np.append(score, pad)),
                     ],
                     ["key", "digest", "word", "times", "n_tokens", "n_known", "score"],
                 )
@@ -156,7 +177,8 @@ def base_scores(docs: DataFrame, counts: DataFrame, total: int, distinct: int, h
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """(doc_id, key, digest, train, ids) with the subword ids of the texts, A-Z in lower case."""
+    """(doc_id, key, digest, train, ids) with the subword ids of the texts, A-Z in lower case, as the bytes of `id_kind`."""
+    size = max(ranks.values()) + 1
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,18 +186,26 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame
         for batch in batches:
             for part, texts in text_slices(batch, rows=256):
                 lower = [t.encode("utf-8", "replace").lower().decode("utf-8") for t in texts]
-                found = [encoding.encode_to_numpy(t, disallowed_special=()).astype(np.int32) for t in lower]
+                found = [encoding.encode_to_numpy(t, disallowed_special=()).astype(id_kind(size)).tobytes() for t in lower]
                 keep = [part.column(c) for c in ("doc_id", "key", "digest", "train")]
-                yield pa.RecordBatch.from_arrays([*keep, pa.array(found, pa.list_(pa.int32()))], ["doc_id", "key", "digest", "train", "ids"])
+                yield pa.RecordBatch.from_arrays([*keep, pa.array(found, pa.binary())], ["doc_id", "key", "digest", "train", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(encode, f"doc_id {kind}, key long, digest long, train boolean, ids array<int>")
+    return docs.mapInArrow(encode, f"doc_id {kind}, key long, digest long, train boolean, ids binary")
 
 
-def _id_arrays(batch) -> list[np.ndarray]:
-    column = batch.column("ids")
-    flat, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())
-    return np.split(flat, ends[:-1]) if len(ends) else []
+def id_kind(size: int) -> np.dtype:
+    """The type of ids below `size`."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<i4")
+
+
+def _id_arrays(batch, size: int) -> list[np.ndarray]:
+    """The ids of each row, from lists or from the bytes of `id_kind`."""
+    column, kind = batch.column("ids"), id_kind(size)
+    if pa.types.is_list(column.type):
+        flat, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())
+        return np.split(flat, ends[:-1]) if len(ends) else []
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
 def id_tables(ids: DataFrame, ranks: dict[bytes, int]) -> Tables:
@@ -185,7 +215,7 @@ def id_tables(ids: DataFrame, ranks: dict[bytes, int]) -> Tables:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, texts = np.zeros(size, np.int64), 0
         for batch in batches:
-            total += np.bincount(batch.column("ids").flatten().to_numpy(), minlength=size)
+            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *_id_arrays(batch, size)]), minlength=size)
             texts += batch.num_rows
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -221,7 +251,8 @@ def first_weights(prior: np.ndarray) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(SEED)
     w = {name: rng.normal(0, 0.3 if name == "e" else 0.1, shape).astype(np.float32) for name, shape in SHAPES.items()}
     w["u"] = np.zeros(SHAPES["u"], np.float32)
-    w["b"] = prior.astype(np.float32)
+    # With `u` still zero the shares are the counted ones.
+    w["b"] = (FOLD * (np.exp((prior - prior.max()) / FOLD) - 1)).astype(np.float32)
     return w
 
 
@@ -237,96 +268,151 @@ def shaped(vector: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def views(vector: np.ndarray) -> dict[str, np.ndarray]:
+    """The parts of a flat vector, without a copy."""
+    ends = np.cumsum([int(np.prod(shape)) for shape in SHAPES.values()])
+    return {name: part.reshape(shape) for (name, shape), part in zip(SHAPES.items(), np.split(vector, ends[:-1]))}
+
+
 def window_count(ids: np.ndarray) -> int:
-    return 1 if len(ids) < WIDTH else 1 - (WIDTH - len(ids) - 1) // STRIDE
-
-
-def windows_of(ids: np.ndarray, classes: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(windows, WIDTH) input slots and target classes of all or the chosen windows; -1 where another window scores."""
-    n = len(ids) + 1
-    chosen = np.arange(window_count(ids)) if chosen is None else chosen
-    slots = np.empty(n, np.int32)
-    slots[0] = BEGIN
-    slots[1:] = np.where(ids < LOW, ids, LOW + ids % HASHED)
-    targets = np.append(classes[ids], END)
-    places = chosen[:, None] * STRIDE + np.arange(WIDTH)
-    real = places < n
-    places = np.minimum(places, n - 1)
-    scored = real.copy()
-    scored[chosen > 0, : WIDTH - STRIDE] = False
-    return slots[places], np.where(scored, targets[places], -1).astype(np.int32)
-
-
-_MASK = np.triu(np.full((WIDTH, WIDTH), -1e9, np.float32), 1)
-# The exponential of both normalisations is (1 + z / 64) ** 64 for z <= 0, six squarings instead of a
-# library call; whatever function is taken, the shares add up to 1.
-FOLD, LEAST = np.float32(64), np.float32(0.02)
-
-
-def _base(z: np.ndarray) -> np.ndarray:
-    """1 + (z - max) / 64 along the last axis, in place, at least `LEAST`."""
-    z -= z.max(axis=-1, keepdims=True)
-    z /= FOLD
-    z += np.float32(1)
-    return np.maximum(z, LEAST, out=z)
-
-
-def _power(t: np.ndarray) -> np.ndarray:
-    """t ** 64."""
-    t = t * t
-    for _ in range(5):
-        t *= t
-    return t
-
-
-def attend(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Batched masked attention: (input, queries, keys, values, bases, weights, mixed values, output)."""
-    q, k, v = x @ (w["q"] * np.float32(DIMS**-0.5)), x @ w["k"], x @ w["v"]
-    t = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
-    t += _MASK
-    a = _power(_base(t))
-    a /= a.sum(axis=2, keepdims=True)
-    m = a @ v
-    return x, q, k, v, t, a, m, x + m @ w["o"]
-
-
-def class_shares(w: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bases, powers and their sums for the classes."""
-    t = _base(h @ w["u"] + w["b"])
-    p = _power(t)
-    return t, p, p @ np.ones(CLASSES, np.float32)
-
-
-def log_shares(w: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    return len(ids) // STRIDE + 1
+
+
+def windows_of(ids: np.ndarray, classes: np.ndarray, chosen: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+    """Input slots (windows, WIDTH) and target classes (windows, STRIDE) of all or the chosen windows; -1 behind the end."""
+    count = window_count(ids)
+    slots = np.full(BACK + count * STRIDE, BEGIN, np.int32)
+    slots[BACK + 1 : BACK + 1 + len(ids)] = np.where(ids < LOW, ids, LOW + (ids & (HASHED - 1)))
+    targets = np.full(count * STRIDE, -1, np.int32)
+    targets[: len(ids)] = classes[ids]
+    targets[len(ids)] = END
+    before, own = slots[:-BACK].reshape(-1, STRIDE)[chosen], slots[BACK:].reshape(-1, STRIDE)[chosen]
+    return np.concatenate([before[:, :BACK], own], axis=1), targets.reshape(-1, STRIDE)[chosen]
+
+
+# Shares of both normalisations are powers, (1 + z / FOLD) ** FOLD, which need two multiplications instead of a
+# library call and no greatest value; whatever function is taken, the shares add up to 1.
+FOLD, LEAST = 4, np.float32(0.02)
+_SEEN = np.tril(np.ones((STRIDE, WIDTH), np.float32), BACK)
+# Added and least values: places after the own one get a share of exactly 0.
+_SHIFT, _LEAST = np.where(_SEEN > 0, 1, -1e9).astype(np.float32), LEAST * _SEEN
+
+
+class Buffers(dict):
+    """Arrays of a task that every step uses again: fresh ones of this size cost more time than the arithmetic in them."""
+
+    def of(self, name: str, *shape: int, kind: type = np.float32) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self or self[name].size < size:
+            self[name] = np.empty(size, kind)
+        return self[name][:size].reshape(shape)
+
+
+class Attended(NamedTuple):
+    """Inputs, those that ask, queries, bases, powers, 1 / sums of powers, mixed inputs and output with a column of ones.
+
+    `asked` has room for slopes, then the queries; `given` has the powers, then room for slopes.
+    """
+
+    x: np.ndarray
+    own: np.ndarray
+    asked: np.ndarray
+    t: np.ndarray
+    given: np.ndarray
+    inverse: np.ndarray
+    m: np.ndarray
+    h: np.ndarray
+
+
+def attend(w: dict[str, np.ndarray], slots: np.ndarray, buffers: Buffers) -> Attended:
+    """Masked attention of the last `STRIDE` places of windows; rows of `h` are places.
+
+    Queries meet keys as x q k' x', so q k' and v o are multiplied first and the inputs are projected once.
+    """
+    n = len(slots)
+    rows = n * STRIDE
+    x = np.take(w["e"], slots, axis=0, out=buffers.of("x", n, WIDTH, DIMS), mode="clip")
+    x += w["p"]
+    own = buffers.of("own", rows, DIMS)
+    own.reshape(n, STRIDE, DIMS)[:] = x[:, BACK:]
+    asked, given = buffers.of("asked", n, 2, STRIDE, DIMS), buffers.of("given", n, 2, STRIDE, WIDTH)
+    y, a = asked[:, 1], given[:, 0]
+    meet = w["q"] @ w["k"].T * np.float32(DIMS**-0.5 / FOLD)
+    y[:] = np.matmul(own, meet, out=buffers.of("m", rows, DIMS)).reshape(y.shape)
+    t = np.matmul(y, x.transpose(0, 2, 1), out=buffers.of("t", n, STRIDE, WIDTH))
+    t += _SHIFT
+    np.maximum(t, _LEAST, out=t)
+    np.multiply(t, t, out=a)
+    a *= a
+    inverse = np.matmul(a, np.ones((WIDTH, 1), np.float32), out=buffers.of("inverse", n, STRIDE, 1)).reshape(rows, 1)
+    np.divide(1, inverse, out=inverse)
+    m = np.matmul(a, x, out=buffers.of("m", n, STRIDE, DIMS)).reshape(rows, DIMS)
+    m *= inverse
+    h = buffers.of("h", rows, DIMS + 1)
+    np.add(np.matmul(m, w["v"] @ w["o"], out=buffers.of("out", rows, DIMS)), own, out=h[:, :DIMS])
+    h[:, DIMS] = 1
+    return Attended(x, own, asked, t, given, inverse, m, h)
+
+
+def class_bases(w: dict[str, np.ndarray], h: np.ndarray, buffers: Buffers) -> np.ndarray:
+    weights = np.vstack([w["u"], w["b"] + np.float32(FOLD)]) / np.float32(FOLD)
+    t = np.matmul(h, weights, out=buffers.of("bases", len(h), CLASSES))
+    return np.maximum(t, LEAST, out=t)
+
+
+def log_shares(w: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray, buffers: Buffers) -> np.ndarray:
     """Natural log probabilities of the target classes."""
-    t, _, total = class_shares(w, h)
-    return FOLD * np.log(t[np.arange(len(h)), targets]) - np.log(total)
-
-
-def slopes(w: dict[str, np.ndarray], slots: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradients of the mean loss over the scored targets of some windows."""
-    x, q, k, v, base, a, m, h = attend(w, w["e"][slots] + w["p"])
-    scored = targets >= 0
-    picked, hit = h[scored], targets[scored]
-    t, p, total = class_shares(w, picked)
-    dz = p / total[:, None]
-    dz[np.arange(len(hit)), hit] -= 1
-    dz /= t * np.float32(max(len(hit), 1))
-    dh = np.zeros_like(h)
-    dh[scored] = dz @ w["u"].T
-    dm = dh @ w["o"].T
-    da = dm @ v.transpose(0, 2, 1)
-    ds = a / base * (da - (da * a).sum(axis=2, keepdims=True))
-    dk, dv = ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
-    dq = ds @ k * np.float32(DIMS**-0.5)
-    dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-    rows = x.reshape(-1, DIMS)
-    g = {name: rows.T @ d.reshape(-1, DIMS) for name, d in (("q", dq), ("k", dk), ("v", dv))}
-    g["o"] = m.reshape(-1, DIMS).T @ dh.reshape(-1, DIMS)
-    g["u"], g["b"], g["p"] = picked.T @ dz, dz.sum(axis=0), dx.sum(axis=0)
-    g["e"] = np.zeros_like(w["e"])
-    np.add.at(g["e"], slots.ravel(), dx.reshape(-1, DIMS))
-    return g
+    t = class_bases(w, h, buffers)
+    hit = t.ravel()[np.arange(len(h)) * CLASSES + targets]
+    t *= t
+    return FOLD * np.log(hit) - np.log(np.einsum("ij,ij->i", t, t))
+
+
+def add_slopes(w: dict[str, np.ndarray], slots: np.ndarray, targets: np.ndarray, g: dict[str, np.ndarray], buffers: Buffers) -> int:
+    """Adds the gradients of the loss, summed over the targets of some windows, to `g`; returns the number of targets."""
+    x, own, asked, t, given, inverse, m, h = attend(w, slots, buffers)
+    rows, parts, y, dt = len(h), asked[:, 0], asked[:, 1], given[:, 1]
+    targets = targets.ravel()
+    behind = targets < 0
+    at = np.arange(rows) * CLASSES + targets
+    base = class_bases(w, h, buffers)
+    # Slope of log((1 + z / FOLD) ** FOLD): 1 / base; of the log of the sum: base ** (FOLD - 1) / sum.
+    hit = 1 / base.ravel()[at]
+    dz = np.multiply(base, base, out=buffers.of("dz", rows, CLASSES))
+    base *= (1 / np.einsum("ij,ij->i", dz, dz))[:, None]
+    dz *= base
+    dz.ravel()[at] -= hit
+    dz[behind] = 0
+    du = dz.T @ h
+    g["u"] += du[:, :DIMS].T
+    g["b"] += du[:, DIMS]
+    dh = np.matmul(dz, w["u"].T, out=buffers.of("dh", rows, DIMS))
+    dm = np.matmul(dh, (w["v"] @ w["o"]).T, out=buffers.of("out", rows, DIMS))
+    mixed = m.T @ dh
+    g["v"] += mixed @ w["o"].T
+    g["o"] += w["v"].T @ mixed
+    m *= dm
+    lean = m @ np.ones((DIMS, 1), np.float32)
+    lean *= inverse
+    dm *= inverse
+    parts[:] = dm.reshape(parts.shape)
+    np.matmul(parts, x.transpose(0, 2, 1), out=dt)
+    dt -= lean.reshape(-1, STRIDE, 1)
+    dt *= np.float32(FOLD)
+    for _ in range(FOLD - 1):
+        dt *= t
+    dy = np.matmul(dt, x, out=buffers.of("m", *y.shape)).reshape(rows, DIMS)
+    meet = w["q"] @ w["k"].T * np.float32(DIMS**-0.5 / FOLD)
+    dh += np.matmul(dy, meet.T, out=buffers.of("out", rows, DIMS))
+    met = own.T @ dy * np.float32(DIMS**-0.5 / FOLD)
+    g["q"] += met @ w["k"]
+    g["k"] += met.T @ w["q"]
+    dx = np.matmul(given.reshape(-1, 2 * STRIDE, WIDTH).transpose(0, 2, 1), asked.reshape(-1, 2 * STRIDE, DIMS), out=buffers.of("dx", *x.shape))
+    dx[:, BACK:] += dh.reshape(y.shape)
+    g["p"] += dx.sum(axis=0)
+    places = np.add((slots.astype(np.int64) * DIMS)[:, :, None], np.arange(DIMS), out=buffers.of("places", *x.shape, kind=np.int64))
+    np.add.at(g["e"].reshape(-1), places.reshape(-1), dx.reshape(-1))
+    return rows - int(behind.sum())
 
 
 def train_round(ids: DataFrame, weights: np.ndarray, classes: np.ndarray, turn: int) -> np.ndarray:
@@ -335,38 +421,58 @@ def train_round(ids: DataFrame, weights: np.ndarray, classes: np.ndarray, turn:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, classes = shared.value
-        w = shaped(start)
-        mean, power = ({name: np.zeros_like(x) for name, x in w.items()} for _ in range(2))
-        step, seen, held, count = 0, 0, [], 0
+        vector = start.astype(np.float32)
+        mean, power, slope, change = (np.zeros_like(vector) for _ in range(4))
+        w, g, buffers = views(vector), views(slope), Buffers()
+        step, seen, held, count, targets, added = 0, 0, [], 0, 0, 0
+
+        def gather() -> None:
+            nonlocal targets, added
+            targets += add_slopes(w, np.concatenate([s for s, _ in held]), np.concatenate([t for _, t in held]), g, buffers)
+            added += 1
 
         def update() -> None:
             nonlocal step
             step += 1
-            g = slopes(w, np.concatenate([s for s, _ in held]), np.concatenate([t for _, t in held]))
-            for name, x in w.items():
-                mean[name] += 0.1 * (g[name] - mean[name])
-                power[name] += 0.01 * (g[name] ** 2 - power[name])
-                x -= RATE * (mean[name] / (1 - 0.9**step)) / (np.sqrt(power[name] / (1 - 0.99**step)) + 1e-6)
+            np.multiply(slope, np.float32(1 / max(targets, 1)), out=slope)
+            np.subtract(slope, mean, out=change)
+            np.multiply(change, np.float32(0.1), out=change)
+            np.add(mean, change, out=mean)
+            np.multiply(slope, slope, out=change)
+            np.subtract(change, power, out=change)
+            np.multiply(change, np.float32(0.01), out=change)
+            np.add(power, change, out=power)
+            np.sqrt(power, out=change)
+            np.multiply(change, np.float32((1 - 0.99**step) ** -0.5), out=change)
+            np.add(change, np.float32(1e-6), out=change)
+            np.divide(mean, change, out=change)
+            np.multiply(change, np.float32(RATE / (1 - 0.9**step)), out=change)
+            np.subtract(vector, change, out=vector)
+            slope.fill(0)
 
         for batch in batches:
-            for key, found in zip(batch.column("digest").to_pylist(), _id_arrays(batch)):
-                chosen = np.arange((turn - key) % ROUNDS, window_count(found), ROUNDS)
-                if not len(chosen):
-                    continue
-                slots, targets = windows_of(found, classes, chosen)
+            for key, found in zip(batch.column("digest").to_pylist(), _id_arrays(batch, len(classes))):
+                chosen = slice((turn - key) % ROUNDS, None, ROUNDS)
+                slots, aims = windows_of(found, classes, chosen)
                 # A long text is taken in parts, so that no step grows with it.
-                for at in range(0, len(chosen), BATCH):
-                    held.append((slots[at : at + BATCH], targets[at : at + BATCH]))
+                for at in range(0, len(slots), BATCH):
+                    held.append((slots[at : at + BATCH], aims[at : at + BATCH]))
                     count += len(held[-1][0])
                     seen += len(held[-1][0])
                     if count >= BATCH:
-                        update()
+                        gather()
                         held.clear()
                         count = 0
+                        # After the first steps, the mean slope of several batches.
+                        if added >= (1 if step < EARLY else MERGED):
+                            update()
+                            targets = added = 0
         if count:
+            gather()
+        if added:
             update()
         if seen:
-            found = flat(w).astype(float) * seen
+            found = vector.astype(float) * seen
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(-1, len(found), dtype=np.int32)), pa.array(np.append(float(seen), found))], ["at", "v"]
             )
@@ -387,22 +493,20 @@ def model_scores(ids: DataFrame, weights: np.ndarray, tables: Tables) -> DataFra
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, tables = shared.value
-        w, tables = shaped(weights), Tables(*tables)
+        w, tables, buffers = shaped(weights), Tables(*tables), Buffers()
         for batch in batches:
             scores = []
             for start in range(0, batch.num_rows, 64):
-                texts = _id_arrays(batch.slice(start, 64))
+                texts = _id_arrays(batch.slice(start, 64), len(tables.classes))
                 cut = [windows_of(t, tables.classes) for t in texts]
                 slots, targets = (np.concatenate(x) for x in zip(*cut))
                 owner = np.repeat(np.arange(len(texts)), [len(s) for s, _ in cut])
                 sums = np.array([tables.inside[t].sum() for t in texts])
                 for at in range(0, len(slots), WINDOWS):
                     s, t = slots[at : at + WINDOWS], targets[at : at + WINDOWS]
-                    scored = t >= 0
-                    h = attend(w, w["e"][s] + w["p"])[-1][scored]
-                    logs = log_shares(w, h, t[scored])
-                    rows = np.repeat(owner[at : at + WINDOWS], scored.sum(axis=1))
-                    sums += np.bincount(rows, logs, len(texts)) / np.log(10)
+                    logs = log_shares(w, attend(w, s, buffers).h, t.ravel(), buffers).reshape(t.shape)
+                    logs[t < 0] = 0
+                    sums += np.bincount(owner[at : at + WINDOWS], logs.sum(axis=1, dtype=float), len(texts)) / np.log(10)
                 scores.append(sums)
             keep = [batch.column(c) for c in ("doc_id", "key", "digest", "train")]
             found = pa.array(np.concatenate(scores) if scores else np.zeros(0))

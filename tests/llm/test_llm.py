@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -302,6 +303,62 @@ def test_every_window_is_learned_from(spark, digest):
     assert np.flatnonzero(moved).tolist() == [*ids, 500, attention_lm.BEGIN]
 
 
+def lm_example(n=400):
+    rng = np.random.default_rng(5)
+    first = attention_lm.first_weights(np.zeros(attention_lm.CLASSES))
+    vector = (attention_lm.flat(first) + rng.normal(0, 0.2, len(attention_lm.flat(first)))).astype(np.float32)
+    return vector, *attention_lm.windows_of(rng.integers(0, 60, n), np.arange(1_000) % attention_lm.END)
+
+
+def lm_loss(vector, slots, targets):
+    w, buffers = attention_lm.views(vector), attention_lm.Buffers()
+    logs = attention_lm.log_shares(w, attention_lm.attend(w, slots, buffers).h, targets.ravel(), buffers)
+    return -logs[targets.ravel() >= 0].astype(float).sum()
+
+
+def test_slopes_equal_differences():
+    vector, slots, targets = lm_example()
+    slope = np.zeros_like(vector)
+    assert attention_lm.add_slopes(attention_lm.views(vector), slots, targets, attention_lm.views(slope), attention_lm.Buffers()) == 401
+    for name, part in attention_lm.views(slope).items():
+        way = np.zeros_like(vector)
+        attention_lm.views(way)[name][:] = part / np.linalg.norm(part) * 0.02
+        found = (lm_loss(vector + way, slots, targets) - lm_loss(vector - way, slots, targets)) / 0.04
+        assert found == pytest.approx(np.linalg.norm(part), rel=1e-2), name
+
+
+def test_steps_reuse_their_arrays():
+    vector, slots, targets = lm_example(attention_lm.BATCH * attention_lm.STRIDE - 1)
+    w, g, buffers = attention_lm.views(vector), attention_lm.views(np.zeros_like(vector)), attention_lm.Buffers()
+    attention_lm.add_slopes(w, slots, targets, g, buffers)
+    tracemalloc.start()
+    attention_lm.add_slopes(w, slots, targets, g, buffers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # One array of the class shares has as many bytes.
+    assert peak < targets.size * attention_lm.CLASSES * 4
+
+
+def test_shares_add_up_and_no_id_sees_a_later_one():
+    vector, slots, targets = lm_example()
+    w, buffers = attention_lm.views(vector), attention_lm.Buffers()
+    rows = attention_lm.attend(w, slots, buffers).h.copy()
+    each = [attention_lm.log_shares(w, rows, np.full(len(rows), c), buffers) for c in range(attention_lm.CLASSES)]
+    np.testing.assert_allclose(np.exp(each).sum(axis=0), 1, rtol=1e-4)
+    later = slots.copy()
+    later[:, attention_lm.BACK + 10 :] = 7
+    seen = attention_lm.attend(w, later, buffers).h.reshape(len(slots), attention_lm.STRIDE, -1)
+    np.testing.assert_array_equal(seen[:, :10], rows.reshape(seen.shape)[:, :10])
+
+
+def test_places_in_equals_binary_search():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 3_000):
+        known = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        asked = np.concatenate([known, known + np.uint64(1), rng.integers(0, 1 << 64, 500, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        np.testing.assert_array_equal(attention_lm.places_in(known)(asked), np.searchsorted(known, asked))
+
+
 def test_section_tokens_add_up(docs, ranks):
     encoding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     expected = collections.Counter()
