@@ -298,6 +298,10 @@ _SEEN = np.tril(np.ones((STRIDE, WIDTH), np.float32), BACK)
 _SHIFT, _LEAST = np.where(_SEEN > 0, 1, -1e9).astype(np.float32), LEAST * _SEEN
 
 
+# Places of the numbers of each id in the flat vectors of all ids.
+_NUMBERS = np.arange((BEGIN + 1) * DIMS).reshape(BEGIN + 1, DIMS)
+
+
 class Buffers(dict):
     """Arrays of a task that every step uses again: fresh ones of this size cost more time than the arithmetic in them."""
 
@@ -398,19 +402,19 @@ def add_slopes(w: dict[str, np.ndarray], slots: np.ndarray, targets: np.ndarray,
     parts[:] = dm.reshape(parts.shape)
     np.matmul(parts, x.transpose(0, 2, 1), out=dt)
     dt -= lean.reshape(-1, STRIDE, 1)
-    dt *= np.float32(FOLD)
     for _ in range(FOLD - 1):
         dt *= t
+    # The factor `FOLD` of the power's slope is taken on the narrow side.
+    y *= np.float32(FOLD)
     dy = np.matmul(dt, x, out=buffers.of("m", *y.shape)).reshape(rows, DIMS)
-    meet = w["q"] @ w["k"].T * np.float32(DIMS**-0.5 / FOLD)
-    dh += np.matmul(dy, meet.T, out=buffers.of("out", rows, DIMS))
-    met = own.T @ dy * np.float32(DIMS**-0.5 / FOLD)
+    dh += np.matmul(dy, (w["q"] @ w["k"].T * np.float32(DIMS**-0.5)).T, out=buffers.of("out", rows, DIMS))
+    met = own.T @ dy * np.float32(DIMS**-0.5)
     g["q"] += met @ w["k"]
     g["k"] += met.T @ w["q"]
     dx = np.matmul(given.reshape(-1, 2 * STRIDE, WIDTH).transpose(0, 2, 1), asked.reshape(-1, 2 * STRIDE, DIMS), out=buffers.of("dx", *x.shape))
     dx[:, BACK:] += dh.reshape(y.shape)
     g["p"] += dx.sum(axis=0)
-    places = np.add((slots.astype(np.int64) * DIMS)[:, :, None], np.arange(DIMS), out=buffers.of("places", *x.shape, kind=np.int64))
+    places = np.take(_NUMBERS, slots, axis=0, out=buffers.of("places", *x.shape, kind=np.int64), mode="clip")
     np.add.at(g["e"].reshape(-1), places.reshape(-1), dx.reshape(-1))
     return rows - int(behind.sum())
 
