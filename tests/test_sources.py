@@ -486,3 +486,37 @@ def test_valuations_are_shuffled_once_for_keys_and_files(spark, rows):
     assert rows(once) == [(0, 0), (1, 1)]
     shown = once._jdf.queryExecution().optimizedPlan().toString()
     assert shown.index("RepartitionByExpression") < shown.index("MapInArrow")
+
+
+def test_lines_of_many_files_in_one_task_are_counted_by_file(spark, tmp_path):
+    """Headers with quotes, blank lines before the header, and rows of other widths; no path or line is sorted for it."""
+    texts = {
+        "a": 'x,"y,z",w\n1,"a,b",2\n"q""r,",3,4\n', "b": "\n \nx,y\n1,2\n1,2,3\n\n", "c": "x,y\n", "d": "x,y\n" + "1,2\n" * 25_000, "e": 'x,y\n"open,1\n',
+    }
+    os.makedirs(f"{tmp_path}/some where/t=1")
+    for name, text in texts.items():
+        with gzip.open(f"{tmp_path}/some where/t=1/{name}.csv.gz", "wt") as f:
+            f.write(text)
+    with open(f"{tmp_path}/some where/t=1/f.csv", "w") as f:
+        f.write("x,y\n" + "1,2\n" * 60_000)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        manifest = quality.file_manifest(spark, f"{tmp_path}/some where", "csv")
+        found = {os.path.basename(r.file_path)[0]: (r.header, r.rows, r.broken) for r in manifest.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert found == {
+        "a": ('x,"y,z",w', 2, 0), "b": ("x,y", 2, 1), "c": ("x,y", 0, 0), "d": ("x,y", 25_000, 0), "e": ("x,y", 1, 0), "f": ("x,y", 60_000, 0),
+    }
+    counted = quality._csv_counts(spark.read.option("recursiveFileLookup", True).text(f"{tmp_path}/some where"))
+    assert "Sort" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_json_documents_are_parsed_once_and_not_sorted(spark, tmp_path):
+    documents = ['{"a": 1}', "{}", " { } ", "[]", "[[]]", "null", "0", "0.0", "-0", '""', "false", "true", '{"a": ', '{"": null}', "[1", '"x"', "{'a': 1}"]
+    spark.createDataFrame([(d,) for d in documents], "value string").coalesce(1).write.text(str(tmp_path / "j"))
+    texts = spark.read.text(str(tmp_path / "j"))
+    row = quality._json_counts(texts, True).first()
+    assert (row.rows, row.broken) == (5, 3)
+    assert "Sort" not in quality._json_counts(texts, True)._jdf.queryExecution().executedPlan().toString()
