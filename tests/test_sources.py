@@ -520,3 +520,12 @@ def test_json_documents_are_parsed_once_and_not_sorted(spark, tmp_path):
     row = quality._json_counts(texts, True).first()
     assert (row.rows, row.broken) == (5, 3)
     assert "Sort" not in quality._json_counts(texts, True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_sorted_before_the_shuffle_only_for_crowded_keys(spark, rows):
+    spread = spark.range(1_000).selectExpr("id DIV 2 AS k", "id AS v")
+    crowded = spark.range(1_000).selectExpr("CASE WHEN id % 2 = 0 THEN NULL ELSE id DIV 4 END AS k", "id AS v")
+    for df, sorted_first in ((spread, False), (crowded, True), (spread.limit(0), False)):
+        once = windows.first_in_ranges(df, ["k"], [F.col("v")])
+        assert rows(once) == rows(df.groupBy("k").agg(F.min("v").alias("v")))
+        assert ("MapInArrow" in once._jdf.queryExecution().optimizedPlan().toString()) == sorted_first
