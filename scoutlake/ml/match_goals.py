@@ -11,6 +11,7 @@ from scoutlake.functions import contains_ci, expected_goals, score_goals, tenden
 from scoutlake.ml.boosting import Trained, fit, split_by_key
 from scoutlake.ml.model_store import fit_once
 from scoutlake.operators.aggregates import home_away_strength, with_means
+from scoutlake.operators.ranges import stored_parts
 from scoutlake.operators.relational import drop_incomplete, role_join
 
 # Model inputs, per role, and the strength column behind each.
@@ -28,10 +29,14 @@ AWAY_ROLE = {
 }
 FEATURES = (*HOME_ROLE, *AWAY_ROLE)
 TARGET = "total_goals"
+# League games in each role that a club needs for a strength.
+MIN_GAMES = 10
 
 
-def team_strength(games: DataFrame, min_games: int = 10) -> DataFrame:
-    return home_away_strength(games, min_games, F.col("competition_type") == DOMESTIC_LEAGUE)
+def team_strength(games: DataFrame, min_games: int = MIN_GAMES, stored: bool = False) -> DataFrame:
+    """League strengths; `stored` ones are written down for several readers."""
+    strength = home_away_strength(games, min_games, F.col("competition_type") == DOMESTIC_LEAGUE)
+    return stored_parts(strength, "strength") if stored else strength
 
 
 def game_features(games: DataFrame, strength: DataFrame) -> DataFrame:
@@ -45,7 +50,12 @@ def game_features(games: DataFrame, strength: DataFrame) -> DataFrame:
 def train_match_goals(
     features: DataFrame, trees: int = 150, depth: int = 4, step: float = 0.1, seed: int = 42, store: str | None = None
 ) -> tuple[Trained, DataFrame, DataFrame]:
-    """The model with its training and held-out rows; with a `store` folder it is fitted once for equal rows and settings."""
+    """The model with its training and held-out rows; with a `store` folder it is fitted once for equal rows and settings.
+
+    The rows are stored too then: key, split points, fit and scores pass over them, and would each derive them anew.
+    """
+    if store is not None:
+        features = stored_parts(features, "features")
     train, held_out = split_by_key(features, "game_id", seed=seed)
 
     def fitted() -> Trained:

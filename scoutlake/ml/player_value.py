@@ -9,6 +9,7 @@ from scoutlake.functions import in_millions, per_90, ratio_or_zero
 from scoutlake.ml.boosting import Trained, fit, split_by_key
 from scoutlake.ml.model_store import fit_once
 from scoutlake.operators.aggregates import fill_median
+from scoutlake.operators.ranges import stored_parts
 from scoutlake.operators.relational import drop_incomplete, top_n
 
 # Model inputs and target. The last feature is made from the target.
@@ -54,8 +55,11 @@ def train_player_value(
 ) -> tuple[Trained, DataFrame, DataFrame]:
     """The model with its training and held-out rows. `leak` adds the feature made from the target.
 
-    With a `store` folder the model is fitted once for equal rows and settings.
+    With a `store` folder the model is fitted once for equal rows and settings, and its rows are stored too: key, split
+    points, fit and scores pass over them, and would each derive them anew.
     """
+    if store is not None:
+        features = stored_parts(features, "features")
     train, held_out = split_by_key(features, "player_id", seed=seed)
     names = (*FEATURES, LEAKING_FEATURE) if leak else FEATURES
     position = StringIndexer(

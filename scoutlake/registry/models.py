@@ -8,7 +8,6 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scoutlake.ml import match_goals, model_store, player_value
-from scoutlake.operators.ranges import stored_parts
 from scoutlake.registry import Query, gold
 from scoutlake.registry.oracle import oracle
 from scoutlake.session import shared_root, work_dir
@@ -50,24 +49,23 @@ def _store(spark: SparkSession) -> str:
 
 
 def _player_model(spark: SparkSession, sf: str):
-    """The features are stored: key, split points, fit and scores pass over them, and would each derive them anew."""
-    features = stored_parts(player_value.player_features(gold.players(spark, sf)), "features")
-    return features, *player_value.train_player_value(features, store=_store(spark))
+    """The model, which stores its rows, with its training and held-out rows; together they are all rows with features."""
+    return player_value.train_player_value(player_value.player_features(gold.players(spark, sf)), store=_store(spark))
 
 
 def player_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    _, trained, train, held_out = _player_model(spark, sf)
+    trained, train, held_out = _player_model(spark, sf)
     return trained.metrics(train=train, held_out=held_out)
 
 
 def player_model_importances(spark: SparkSession, sf: str) -> DataFrame:
-    _, trained, _, _ = _player_model(spark, sf)
+    trained, _, _ = _player_model(spark, sf)
     return trained.importances(spark)
 
 
 def value_potential(spark: SparkSession, sf: str) -> DataFrame:
-    features, trained, _, _ = _player_model(spark, sf)
-    return player_value.value_potential(trained, features)
+    trained, train, held_out = _player_model(spark, sf)
+    return player_value.value_potential(trained, train.unionByName(held_out))
 
 
 # What the strengths and features read of a game.
@@ -78,10 +76,10 @@ GAME_COLUMNS = (
 
 
 def _goals_model(spark: SparkSession, sf: str):
-    """Games, strengths and features are stored, as each is read by several passes."""
-    games = stored_parts(gold.games(spark, sf).select(*GAME_COLUMNS), "games")
-    strength = stored_parts(match_goals.team_strength(games), "strength")
-    features = stored_parts(match_goals.game_features(games, strength), "features")
+    """Games, strengths and features are stored, the last by the training, as each is read by several passes."""
+    games = gold.games(spark, sf, GAME_COLUMNS)
+    strength = match_goals.team_strength(games, match_goals.MIN_GAMES, True)
+    features = match_goals.game_features(games, strength)
     return strength, *match_goals.train_match_goals(features, store=_store(spark))
 
 
@@ -106,7 +104,8 @@ def fixture_clubs(spark: SparkSession, sf: str) -> DataFrame:
 
 def player_scores_by_tree_table(spark: SparkSession, sf: str) -> DataFrame:
     """Per player: is the model's score the one that the table of its trees gives?"""
-    features, trained, _, _ = _player_model(spark, sf)
+    trained, train, held_out = _player_model(spark, sf)
+    features = train.unionByName(held_out)
     nodes = model_store.tree_table(spark, trained, work_dir(spark, "trees"))
     scores = model_store.tree_scores(trained, features, "player_id", nodes)
     own = trained.model.transform(features).select("player_id", "prediction").join(scores, "player_id", "left")
